@@ -56,32 +56,29 @@ def _most_frequent(is_candidate: Column, value: str) -> Column:
 
 def item_values(items: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
     """Distinct counts and most frequent values of products, sellers and their attributes."""
+    columns = {"product": "product_id", "seller": "seller_id", "category": "product_category_name",
+               "state": "seller_state", "city": "seller_city", "zip": "seller_zip_code_prefix"}
     lines = (items.select(policy.ORDER_ID, "product_id", "seller_id")
              .join(products.select("product_id", "product_category_name"), "product_id", "left")
              .join(sellers.select("seller_id", "seller_state", "seller_city", "seller_zip_code_prefix"),
                    "seller_id", "left"))
-    text_dims = {"product": "product_id", "seller": "seller_id", "category": "product_category_name",
-                 "state": "seller_state", "city": "seller_city"}
-    rows = [F.struct(F.lit(dim).alias("dim"), F.col(column).cast("string").alias("text"),
-                     F.lit(None).cast("int").alias("number")) for dim, column in text_dims.items()]
-    rows.append(F.struct(F.lit("zip").alias("dim"), F.lit(None).cast("string").alias("text"),
-                         F.col("seller_zip_code_prefix").cast("int").alias("number")))
-    counted = (lines.select(policy.ORDER_ID, F.inline(F.array(*rows)))
-               .where(F.col("text").isNotNull() | F.col("number").isNotNull())
-               .groupBy(policy.ORDER_ID, "dim", "text", "number").agg(F.count("*").alias("n")))
-
-    def of(dim):
-        return F.col("dim") == dim
+    counted = (lines.groupingSets([[policy.ORDER_ID, c] for c in columns.values()],
+                                  policy.ORDER_ID, *columns.values())
+               .agg(F.count("*").alias("n")))
+
+    def known(dim):
+        # Only the grouping set of this column carries its values; a null value does not count.
+        return F.col(columns[dim]).isNotNull()
 
     return counted.groupBy(policy.ORDER_ID).agg(
-        F.count_if(of("product")).alias("product_count"),
-        F.count_if(of("seller")).alias("seller_count"),
-        F.count_if(of("category")).alias("product_category_count"),
-        F.count_if(of("state")).alias("seller_state_count"),
-        F.count_if(of("city")).alias("seller_city_count"),
-        _most_frequent(of("category"), "text").alias("product_category_mode"),
-        _most_frequent(of("state"), "text").alias("seller_state_mode"),
-        _most_frequent(of("zip"), "number").alias("seller_zip_mode"))
+        F.count_if(known("product")).alias("product_count"),
+        F.count_if(known("seller")).alias("seller_count"),
+        F.count_if(known("category")).alias("product_category_count"),
+        F.count_if(known("state")).alias("seller_state_count"),
+        F.count_if(known("city")).alias("seller_city_count"),
+        _most_frequent(known("category"), columns["category"]).alias("product_category_mode"),
+        _most_frequent(known("state"), columns["state"]).alias("seller_state_mode"),
+        _most_frequent(known("zip"), columns["zip"]).alias("seller_zip_mode"))
 
 
 def payment_profile(payments: DataFrame) -> DataFrame:

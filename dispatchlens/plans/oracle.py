@@ -450,8 +450,9 @@ SELECT 'retrain_recommended', CAST(drift_detected OR performance_low AS DOUBLE)
 UNION ALL SELECT 'psi_' || metric, round(psi, 6) FROM psi WHERE metric <> 'score'"""),
     "monitor_report": q(LONG, """
 SELECT 'reference-baseline' AS model_version,
-       (SELECT strftime(make_timestamp(cut_us), CASE WHEN cut_us % 1000000 = 0 THEN '%Y-%m-%d %H:%M:%S'
-                        ELSE '%Y-%m-%d %H:%M:%S.%f' END) FROM cut) AS split_ts, 0.2::DOUBLE AS psi_limit,
+       (SELECT CASE WHEN cut_us % 1000000 = 0 THEN strftime(make_timestamp(cut_us), '%Y-%m-%d %H:%M:%S')
+                    ELSE strftime(make_timestamp(cut_us), '%Y-%m-%d %H:%M:%S.%f') END FROM cut) AS split_ts,
+       0.2::DOUBLE AS psi_limit,
        0.65::DOUBLE AS min_auc, 17 AS metric_count,
        coalesce(nullif(concat_ws(',', CASE WHEN score_psi > 0.2 THEN 'score_psi>threshold' END,
          CASE WHEN max_feature_psi > 0.2 THEN 'feature_psi>threshold' END,

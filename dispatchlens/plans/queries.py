@@ -529,8 +529,8 @@ def approximate_latency(spark, sf_dir):
 # Streams -------------------------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir) -> DataFrame:
-    schema = adapter.table(spark, sf_dir, "events").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    events = (spark.readStream.schema(adapter.SCHEMAS["events"])
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
     return adapter.as_request_log(events).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -575,21 +575,43 @@ def stream_scoring(spark, sf_dir):
 
 # Models --------------------------------------------------------------------------------------
 
+def _fitted(spark, sf_dir, name: str):
+    """A candidate fitted on the past, stored, and loaded again."""
+    def fit(path):
+        train, _ = split.temporal_split(features(spark, sf_dir), cut(spark, sf_dir))
+        training.fit_candidates(train, [name])[name].write().overwrite().save(path)
+
+    return scoring.load_model(session.written_path(spark, (name, sf_dir), fit))
+
+
+def _board(spark, sf_dir, names) -> DataFrame:
+    _, valid = split.temporal_split(features(spark, sf_dir), cut(spark, sf_dir))
+    return training.compare({n: _fitted(spark, sf_dir, n) for n in names}, valid)
+
+
 @query
-def model_leaderboard(spark, sf_dir):
-    """All three classifiers fitted on the past and compared on the newest orders."""
-    train, valid = split.temporal_split(features(spark, sf_dir), cut(spark, sf_dir))
-    return training.train_candidates(train, valid).board
+def logistic_regression(spark, sf_dir):
+    return _board(spark, sf_dir, ["logistic_regression"])
 
 
 @query
 def model_predictions(spark, sf_dir):
-    """Scores of a stored and reloaded logistic regression for all orders."""
-    table = features(spark, sf_dir)
+    """Scores of the stored logistic regression for all orders."""
+    scored_rows = scoring.score(features(spark, sf_dir), _fitted(spark, sf_dir, "logistic_regression"))
+    return scoring.predictions(scored_rows, "logistic_regression").drop("scored_at")
 
-    def fit(path):
-        train, valid = split.temporal_split(table, cut(spark, sf_dir))
-        training.train_candidates(train, valid, ["logistic_regression"]).best.write().overwrite().save(path)
 
-    model = scoring.load_model(session.written_path(spark, ("model", sf_dir), fit))
-    return scoring.predictions(scoring.score(table, model), "logistic_regression").drop("scored_at")
+@query
+def random_forest(spark, sf_dir):
+    return _board(spark, sf_dir, ["random_forest"])
+
+
+@query
+def gradient_boosting(spark, sf_dir):
+    return _board(spark, sf_dir, ["hist_gradient_boosting"])
+
+
+@query
+def model_leaderboard(spark, sf_dir):
+    """All three classifiers, fitted on the past, compared on the newest orders."""
+    return _board(spark, sf_dir, training.CANDIDATES)
