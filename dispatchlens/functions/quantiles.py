@@ -1,33 +1,34 @@
 """Exact quantiles (linear interpolation) of large columns.
 
-A sketch brackets each wanted rank, one pass counts what lies below and inside each bracket, and
-only the rows inside a small bracket are grouped and ranked. The driver sees a few numbers per
-quantile; no task holds more than `max_rows` distinct values of a column.
+A sketch gives points just below and above each wanted rank, one pass counts the rows on and
+between those points, and only the rows of the few small gaps that hold a wanted rank are grouped
+and ranked. The driver sees a few numbers per quantile; no task ranks more than `max_rows` values
+of a gap.
 """
 
 import math
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 @dataclass
-class _Bracket:
-    """Ranks of one column known to lie among the rows with low <= value <= high."""
+class _Gap:
+    """Rows of a column with low < value < high (None: no bound) and the ranks looked for there."""
     column: str
     ranks: list[int]
-    low: float
-    high: float
     below: int
     inside: int
-    slack: float
-
-    def settled(self, max_rows: int) -> bool:
-        return self.inside <= max_rows or self.low == self.high or self.slack >= 1.0
+    low: float | None = None
+    high: float | None = None
+    final: bool = False
 
     def rows(self) -> Column:
         v = F.col(self.column)
-        return F.when(v.between(F.lit(self.low), F.lit(self.high)), v)
+        if self.low is None:
+            return v
+        return F.when((v > self.low) & (v < self.high), v)
 
 
 def numeric_view(df: DataFrame, columns) -> DataFrame:
@@ -36,76 +37,125 @@ def numeric_view(df: DataFrame, columns) -> DataFrame:
     return df.select([F.when(~F.isnan(v), v).alias(c) for c, v in as_double.items()])
 
 
-def _split(df: DataFrame, open_brackets: list[_Bracket], accuracy: int) -> list[_Bracket]:
-    """One sketch pass and one counting pass: a narrower bracket around each rank."""
+def bucketed(df: DataFrame, points: dict[str, list[float]], prefix: str) -> DataFrame:
+    """Adds prefix + column: how many of the column's sorted points are <= its value."""
+    if not points:
+        return df
+    return Bucketizer(inputCols=list(points), outputCols=[prefix + c for c in points],
+                      splitsArray=[[-math.inf, *p, math.inf] for p in points.values()]).transform(df)
+
+
+def long_counts(df: DataFrame, cells: dict[str, str], by=()) -> DataFrame:
+    """Rows per (by, name, cell) for several integer cell columns, nulls left out.
+
+    One grouping set per column: the counts are combined before anything is shuffled.
+    """
+    by = list(by)
+    columns = list(cells.values())
+    counted = df.groupingSets([[*by, c] for c in columns], *by, *columns).agg(F.count("*").alias("n"))
+    rows = F.array(*[F.struct(F.lit(name).alias("name"), F.col(c).cast("int").alias("cell"))
+                     for name, c in cells.items()])
+    return counted.select(*by, "n", F.inline(rows)).where("cell IS NOT NULL")
+
+
+def _cell_counts(df: DataFrame, gaps: list[_Gap], points: list[list[float]]) -> dict[tuple[int, int], int]:
+    """{(gap, cell): rows}; cell 2i - 1 is on the i-th point, 2i between it and the next one."""
+    names = [f"g{i}" for i in range(len(gaps))]
+    cut = bucketed(df.select([g.rows().alias(n) for n, g in zip(names, gaps)]), dict(zip(names, points)), "b_")
+    cells = []
+    for n, p in zip(names, points):
+        upto = F.col(f"b_{n}").cast("int")
+        on_point = F.coalesce(F.col(n) == F.get(F.lit(p), upto - 1), F.lit(False)).cast("int")
+        cells.append((2 * upto - on_point).alias(n))
+    counted = long_counts(cut.select(cells), {n: n for n in names})
+    return {(names.index(r["name"]), r["cell"]): r["n"] for r in counted.collect()}
+
+
+def _refine(df: DataFrame, gaps: list[_Gap], accuracy: int) -> tuple[dict, list[_Gap]]:
+    """Values of ranks that fall on a sketch point, and smaller gaps for the others."""
+    slack = 2.0 / accuracy
     aggs = []
-    for i, b in enumerate(open_brackets):
-        probs = []
-        for rank in b.ranks:
-            at = (rank - b.below) / b.inside
-            probs += [max(0.0, at - b.slack), min(1.0, at + 1 / b.inside + b.slack)]
-        aggs.append(F.percentile_approx(b.rows(), probs, accuracy).alias(f"s{i}"))
+    for i, g in enumerate(gaps):
+        places = [(r - g.below) / g.inside for r in g.ranks]
+        probs = sorted({min(1.0, max(0.0, p)) for at in places for p in (at - slack, at + 1 / g.inside + slack)})
+        aggs.append(F.percentile_approx(g.rows(), probs, accuracy).alias(f"s{i}"))
     sketch = df.agg(*aggs).first()
-    guesses = [(b, rank, sketch[i][2 * j], sketch[i][2 * j + 1])
-               for i, b in enumerate(open_brackets) for j, rank in enumerate(b.ranks)]
-    counts = df.agg(*[
-        agg for i, (b, _, low, high) in enumerate(guesses)
-        for agg in (F.count_if(F.col(b.column) < low).alias(f"b{i}"),
-                    F.count_if(F.col(b.column).between(low, high)).alias(f"i{i}"))]).first()
-    found = []
-    for i, (b, rank, low, high) in enumerate(guesses):
-        below, inside = counts[f"b{i}"], counts[f"i{i}"]
-        if below <= rank < below + inside and inside < b.inside:
-            found.append(_Bracket(b.column, [rank], low, high, below, inside, b.slack))
-        else:
-            found.append(_Bracket(b.column, [rank], b.low, b.high, b.below, b.inside, b.slack * 8))
-    return found
-
-
-def order_statistics(df: DataFrame, ranks: dict[str, list[int]], bounds: dict[str, tuple],
+    points = [sorted(set(sketch[i])) for i in range(len(gaps))]
+    counts = _cell_counts(df, gaps, points)
+    values, smaller = {}, []
+    for i, (g, at) in enumerate(zip(gaps, points)):
+        start = g.below
+        for cell in range(2 * len(at) + 1):
+            n = counts.get((i, cell), 0)
+            ranks = [r for r in g.ranks if start <= r < start + n]
+            if ranks and cell % 2:
+                values |= {(g.column, r): at[cell // 2] for r in ranks}
+            elif ranks:
+                low = at[cell // 2 - 1] if cell else g.low
+                high = at[cell // 2] if cell // 2 < len(at) else g.high
+                low = -math.inf if low is None else low
+                high = math.inf if high is None else high
+                smaller.append(_Gap(g.column, ranks, start, n, low, high, n == g.inside))
+            start += n
+    return values, smaller
+
+
+def _ranked(df: DataFrame, gaps: list[_Gap]) -> dict[tuple[str, int], float]:
+    """Group and rank the rows of small gaps; one window per gap."""
+    by_column: dict[str, list[int]] = {}
+    for i in sorted(range(len(gaps)), key=lambda i: -math.inf if gaps[i].low is None else gaps[i].low):
+        by_column.setdefault(gaps[i].column, []).append(i)
+    bounded = {c: ids for c, ids in by_column.items() if gaps[ids[0]].low is not None}
+    # A low bound of -inf needs no point: the count then starts one gap later.
+    lows = {c: [gaps[i].low for i in ids if gaps[i].low > -math.inf] for c, ids in bounded.items()}
+    cut = bucketed(df, {c: p for c, p in lows.items() if p}, "nth_")
+
+    def gap_of(column: str, ids: list[int]) -> Column:
+        v = F.col(column)
+        if column not in bounded:
+            return F.when(v.isNotNull(), ids[0])
+        nth = F.col(f"nth_{column}").cast("int") if lows[column] else F.lit(0)
+        nth = nth - (1 if len(lows[column]) == len(ids) else 0)
+        inside = (v > F.get(F.lit([gaps[i].low for i in ids]), nth)) & (v < F.get(F.lit([gaps[i].high for i in ids]), nth))
+        return F.when(inside, F.get(F.lit(ids), nth))
+
+    found = {f"gap_{c}": gap_of(c, ids) for c, ids in by_column.items()}
+    # Rows outside every gap leave before they are copied per column.
+    kept = cut.withColumns(found).where(F.coalesce(*found).isNotNull())
+    cells = F.array(*[F.struct(F.col(f"gap_{c}").alias("gap"), F.col(c).alias("value")) for c in by_column])
+    wanted = F.array(*[F.lit([r - g.below for r in g.ranks]) for g in gaps])
+    upto = F.sum("n").over(W.partitionBy("gap").orderBy("value"))
+    hits = (kept.select(F.inline(cells)).where("gap IS NOT NULL")
+            .groupBy("gap", "value").agg(F.count("*").alias("n")).withColumn("upto", upto)
+            .select("gap", "value", F.filter(F.get(wanted, F.col("gap")), lambda r: (
+                (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))).alias("hit"))
+            .where(F.size("hit") > 0))
+    return {(gaps[r["gap"]].column, local + gaps[r["gap"]].below): r["value"]
+            for r in hits.collect() for local in r["hit"]}
+
+
+def order_statistics(df: DataFrame, ranks: dict[str, list[int]], sizes: dict[str, int],
                      max_rows: int, accuracy: int) -> dict[tuple[str, int], float]:
     """{(column, rank): value}, rank 0 being the smallest value."""
-    brackets = [_Bracket(c, sorted(set(wanted)), *bounds[c][1:], 0, bounds[c][0], 2.0 / accuracy)
-                for c, wanted in ranks.items()]
-    while True:
-        open_brackets = [b for b in brackets if not b.settled(max_rows)]
-        if not open_brackets:
-            break
-        brackets = [b for b in brackets if b.settled(max_rows)] + _split(df, open_brackets, accuracy)
-    values = {(b.column, r): float(b.low) for b in brackets if b.low == b.high for r in b.ranks}
-    pending = [b for b in brackets if b.low < b.high]
-    if not pending:
-        return values
-    spans = F.array(*[F.struct(F.lit(i).alias("bracket"), b.rows().alias("value"))
-                      for i, b in enumerate(pending)])
-    wanted = F.array(*[F.array(*[F.lit(r - b.below) for r in b.ranks]) for b in pending])
-    upto = F.sum("n").over(W.partitionBy("bracket").orderBy("value"))
-    hits = (df.select(F.inline(spans)).where(F.col("value").isNotNull())
-            .groupBy("bracket", "value").agg(F.count("*").alias("n"))
-            .withColumn("upto", upto)
-            .select("bracket", "value",
-                    F.filter(wanted[F.col("bracket")],
-                             lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
-                    .alias("hit"))
-            .where(F.size("hit") > 0))
-    for row in hits.collect():
-        b = pending[row["bracket"]]
-        for local in row["hit"]:
-            values[(b.column, local + b.below)] = row["value"]
-    return values
+    values: dict[tuple[str, int], float] = {}
+    gaps = [_Gap(c, sorted(set(wanted)), 0, sizes[c]) for c, wanted in ranks.items()]
+    while large := [g for g in gaps if g.inside > max_rows and not g.final]:
+        found, smaller = _refine(df, large, accuracy)
+        values |= found
+        gaps = [g for g in gaps if g.inside <= max_rows or g.final] + smaller
+    return values | (_ranked(df, gaps) if gaps else {})
 
 
 def exact_quantiles(df: DataFrame, columns, probs, max_rows: int = 1_000_000,
-                    accuracy: int = 20_000) -> dict[str, list[float] | None]:
+                    accuracy: int = 10_000) -> dict[str, list[float] | None]:
     """{column: value per probability}; nulls and NaN are left out, None for an empty column."""
     columns = list(columns)
     view = numeric_view(df, columns)
-    row = view.agg(*[agg for i, c in enumerate(columns) for agg in (
-        F.count(c).alias(f"n{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}"))]).first()
-    bounds = {c: (row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(columns)}
-    places = {c: [p * (bounds[c][0] - 1) for p in probs] for c in columns if bounds[c][0]}
+    row = view.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    sizes = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    places = {c: [p * (sizes[c] - 1) for p in probs] for c in columns if sizes[c]}
     ranks = {c: [r for at in ats for r in (math.floor(at), math.ceil(at))] for c, ats in places.items()}
-    found = order_statistics(view, ranks, bounds, max_rows, accuracy) if ranks else {}
+    found = order_statistics(view, ranks, sizes, max_rows, accuracy) if ranks else {}
 
     def at_place(c: str, at: float) -> float:
         low, high = found[(c, math.floor(at))], found[(c, math.ceil(at))]
@@ -114,7 +164,7 @@ def exact_quantiles(df: DataFrame, columns, probs, max_rows: int = 1_000_000,
     return {c: [at_place(c, at) for at in places[c]] if c in places else None for c in columns}
 
 
-def approximate_quantiles(df: DataFrame, columns, probs, accuracy: int = 20_000):
+def approximate_quantiles(df: DataFrame, columns, probs, accuracy: int = 10_000):
     """Same shape from one sketch pass, without interpolation."""
     columns = list(columns)
     row = numeric_view(df, columns).agg(

@@ -2,10 +2,10 @@
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from dispatchlens import policy
-from dispatchlens.functions.quantiles import approximate_quantiles, exact_quantiles
+from dispatchlens.functions.quantiles import approximate_quantiles, bucketed, exact_quantiles, long_counts
 from dispatchlens.operators.evaluation import evaluate
 from dispatchlens.operators.scoring import SCORE
 
@@ -26,24 +26,22 @@ def edge_table(spark, edges: dict[str, list[float]]) -> DataFrame:
     return spark.createDataFrame(rows, "metric STRING, position INT, edge DOUBLE")
 
 
-def _bin(value: Column, edges: list[float]) -> Column:
-    """Bin index, left-closed with the last bin closed; -1 outside the edges, null for no value."""
-    if len(edges) < 2:
-        return F.when(value.isNotNull(), -1)
-    inner = sum(((value >= e).cast("int") for e in edges[1:-1]), F.lit(0))
-    return F.when(value.between(edges[0], edges[-1]), inner).when(value.isNotNull(), -1)
-
-
 def histogram(windowed: DataFrame, columns: dict[str, str], edges: dict[str, list[float]]) -> DataFrame:
-    """Rows per metric, window and bin; bin -1 counts values outside the edges."""
-    def number(column):
-        v = F.col(column).cast("double")
-        return F.when(~F.isnan(v), v)
-
-    cells = F.array(*[F.struct(F.lit(m).alias("metric"), _bin(number(c), edges[m]).alias("bin"))
-                      for m, c in columns.items()])
-    return (windowed.select("window", F.inline(cells)).where("bin IS NOT NULL")
-            .groupBy("metric", "window", "bin").agg(F.count("*").alias("n")))
+    """Rows per metric, window and bin, bins left-closed and the last one closed; -1 is outside the edges."""
+    values = {m: F.col(c).cast("double") for m, c in columns.items()}
+    numbers = windowed.select("window", *[F.when(~F.isnan(v), v).alias(m) for m, v in values.items()])
+    cut = bucketed(numbers, {m: edges[m] for m in columns if len(edges[m]) > 1}, "upto_")
+
+    def bin_of(metric: str):
+        v, at = F.col(metric), edges[metric]
+        if len(at) < 2:
+            return F.when(v.isNotNull(), -1)
+        return (F.when((v < at[0]) | (v > at[-1]), -1).when(v == at[-1], len(at) - 2)
+                .otherwise(F.col(f"upto_{metric}").cast("int") - 1))
+
+    binned = cut.select("window", *[bin_of(m).alias(m) for m in columns])
+    return long_counts(binned, {m: m for m in columns}, ["window"]).select(
+        F.col("name").alias("metric"), "window", F.col("cell").alias("bin"), "n")
 
 
 def full_histogram(counts: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
