@@ -109,8 +109,9 @@ def monitor_row(windowed: DataFrame, approximate: bool = False) -> DataFrame:
         *[F.max(F.when(F.col("metric") == f, F.col("psi"))).alias(f"psi_{f}") for f in policy.DRIFT_FEATURES],
         F.bool_or("psi_undefined").alias("psi_undefined"))
     auc = evaluate(windowed.where("window = 'current'")).select(F.col("roc_auc").alias("current_auc"))
-    # Three one-row frames.
-    return wide.crossJoin(auc).crossJoin(label_drift(windowed))
+    rates = label_drift(windowed)
+    return (wide.withColumns({"current_auc": auc.scalar(), "rates": rates.select(F.struct(*rates.columns)).scalar()})
+            .select("*", "rates.*").drop("rates"))
 
 
 def decide(row: DataFrame, psi_limit: float = policy.PSI_LIMIT, min_auc: float = policy.MIN_AUC) -> DataFrame:

@@ -94,5 +94,4 @@ def leaderboard(metrics: DataFrame, order: list[str]) -> DataFrame:
     """Candidates' metrics plus `winner`: the largest pr_auc, the first in `order` on a tie."""
     place = F.array_position(F.array(*[F.lit(c) for c in order]), F.col("candidate"))
     best = metrics.agg(F.max_by("candidate", F.struct("pr_auc", -place)).alias("best"))
-    return metrics.crossJoin(F.broadcast(best)).select(
-        *metrics.columns, (F.col("candidate") == F.col("best")).alias("winner"))
+    return metrics.select(*metrics.columns, (F.col("candidate") == best.scalar()).alias("winner"))

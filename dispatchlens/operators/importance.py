@@ -47,6 +47,6 @@ def permutation_importance(validation: DataFrame, score, features=policy.FEATURE
     swapped = (mixed.withColumn("feature", F.explode(F.lit(features)))
                .withColumns({f: F.when(F.col("feature") == f, F.col("other")[f]).otherwise(F.col(f))
                              for f in features}).drop("other"))
-    auc = evaluate(score(swapped), by=["feature", "repeat"], edges=edges).crossJoin(F.broadcast(base))
+    auc = evaluate(score(swapped), by=["feature", "repeat"], edges=edges).withColumn("base_auc", base.scalar())
     drop = F.col("base_auc") - F.col("roc_auc")
     return auc.groupBy("feature").agg(F.avg(drop).alias("auc_drop"), F.stddev_pop(drop).alias("auc_drop_std"))

@@ -37,22 +37,20 @@ def recent_runs(runs: DataFrame, limit: int = policy.HISTORY_LIMIT) -> DataFrame
     return newest.limit(limit) if limit > 0 else newest
 
 
-def _or_unknown(spark, row: DataFrame) -> DataFrame:
-    """The single row, or a row of nulls when there is none."""
-    return spark.range(1).select().join(row, F.lit(True), "left")
+def _one_row(spark, **rows: DataFrame) -> DataFrame:
+    """One row with a struct per frame of at most one row; a struct is null when its frame is empty."""
+    return spark.range(1).select(*[df.select(F.struct("*")).scalar().alias(name) for name, df in rows.items()])
 
 
 def snapshot(runs: DataFrame, outcomes: DataFrame, limit: int = policy.HISTORY_LIMIT) -> DataFrame:
     """One row: status and details of the latest run, and how many runs the view covers."""
-    latest = with_retrain_state(recent_runs(runs, 1), outcomes)
-    total = recent_runs(runs, limit).agg(F.count("*").alias("total_recorded"))
-    unknown = F.lit("unknown")
-    row = latest.select(F.coalesce("status", unknown).alias("status"), F.lit(None).cast("string").alias("message"),
-                        *[c for c in latest.columns if c not in ("status", SEQUENCE)])
-    filled = _or_unknown(runs.sparkSession, row.withColumn("found", F.lit(True)))
-    return filled.withColumns({
-        "status": F.coalesce("status", unknown),
-        "message": F.when(F.col("found").isNull(), "no deploys recorded yet")}).drop("found").crossJoin(total)
+    latest = with_retrain_state(recent_runs(runs, 1), outcomes).drop(SEQUENCE)
+    total = recent_runs(runs, limit).agg(F.count("*").alias("recorded"))
+    details = [c for c in latest.columns if c != "status"]
+    return _one_row(runs.sparkSession, latest=latest, total=total).select(
+        F.coalesce("latest.status", F.lit("unknown")).alias("status"),
+        F.when(F.col("latest").isNull(), "no deploys recorded yet").alias("message"),
+        *[F.col("latest")[c].alias(c) for c in details], F.col("total.recorded").alias("total_recorded"))
 
 
 def latest_retrain(runs: DataFrame, outcomes: DataFrame, limit: int = policy.HISTORY_LIMIT) -> DataFrame:
@@ -99,7 +97,6 @@ def step_states(reconciled: DataFrame) -> DataFrame:
 def deploy_gauges(runs: DataFrame, outcomes: DataFrame, now: Column | None = None,
                   limit: int = policy.HISTORY_LIMIT) -> DataFrame:
     """One row of gauges on the latest run and the latest retrain; defaults when none is recorded."""
-    spark = runs.sparkSession
     now = F.unix_micros(F.current_timestamp()) / F.lit(1e6) if now is None else now
     finished = X.iso_epoch("finished_at")
     latest = recent_runs(runs, 1).select(
@@ -108,15 +105,14 @@ def deploy_gauges(runs: DataFrame, outcomes: DataFrame, now: Column | None = Non
         F.coalesce("duration_seconds", F.lit(0)).cast("double").alias("last_duration_seconds"),
         X.short_commit("new_commit").alias("last_commit"),
         F.coalesce("status", F.lit("unknown")).alias("last_status_label"))
-    retrain = latest_retrain(runs, outcomes, limit).select(
-        F.col("state").alias("retrain_state"), F.col("dag_run_id").alias("retrain_run_id"))
-    total = recent_runs(runs, limit).agg(F.count("*").alias("runs_total"))
-    return (_or_unknown(spark, latest).crossJoin(_or_unknown(spark, retrain)).crossJoin(total)
-            .withColumns({"last_status": F.coalesce("last_status", F.lit(0)),
-                          "last_retrain_status": F.coalesce((F.col("retrain_state") == "success").cast("int"),
-                                                            F.lit(0)),
-                          "retrain_state": F.coalesce("retrain_state", F.lit("none")),
-                          "retrain_run_id": F.coalesce("retrain_run_id", F.lit("none"))}))
+    row = _one_row(runs.sparkSession, latest=latest, retrain=latest_retrain(runs, outcomes, limit),
+                   total=recent_runs(runs, limit).agg(F.count("*").alias("runs")))
+    state = F.coalesce("retrain.state", F.lit("none"))
+    return row.select(
+        F.coalesce("latest.last_status", F.lit(0)).alias("last_status"),
+        *[F.col("latest")[c].alias(c) for c in latest.columns if c != "last_status"],
+        F.col("total.runs").alias("runs_total"), (state == "success").cast("int").alias("last_retrain_status"),
+        state.alias("retrain_state"), F.coalesce("retrain.dag_run_id", F.lit("none")).alias("retrain_run_id"))
 
 
 def run_records(facts: DataFrame, *keep: str) -> DataFrame:

@@ -22,7 +22,7 @@ def stored_model(layers: Layers):
     """The stored model and its version name; the baseline formula when none is stored."""
     path = model_path(layers)
     model = scoring.load_model(path) if files.exists(layers.spark, path) else None
-    return model, "delivery-risk:current" if model else policy.BASELINE_VERSION
+    return model, "late-delivery:current" if model else policy.BASELINE_VERSION
 
 
 def build_features(layers: Layers, csv_path: str | None = None) -> DataFrame:

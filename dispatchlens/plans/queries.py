@@ -268,8 +268,8 @@ def feature_row_checks(spark, sf_dir):
 def temporal_cut(spark, sf_dir):
     at = cut(spark, sf_dir)
     train, valid = split.temporal_split(features(spark, sf_dir), at)
-    return train.agg(F.count("*").alias("train")).crossJoin(valid.agg(F.count("*").alias("valid"))).select(
-        split.cut_literal(at).alias("split_ts"), "train", "valid")
+    return train.agg(F.count("*").alias("train")).select(
+        split.cut_literal(at).alias("split_ts"), "train", valid.agg(F.count("*")).scalar().alias("valid"))
 
 
 @query

@@ -118,7 +118,7 @@ def test_command_line_runs_the_whole_pipeline(spark, sf_dir, tmp_path, capsys, m
     assert result.winner == "logistic_regression"
     step("score", "--root", root, "--limit", "10")
     scored = layers.read("predictions", "predictions")
-    assert scored.count() == 10 and scored.first().model_version == "delivery-risk:current"
+    assert scored.count() == 10 and scored.first().model_version == "late-delivery:current"
     assert scored.where("late_delivery_probability NOT BETWEEN 0 AND 1").count() == 0
     step("monitor", "--root", root)
     assert layers.read("monitoring", "monitoring_metrics").count() == 2 * len(drift.METRICS)
