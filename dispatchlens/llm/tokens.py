@@ -34,7 +34,7 @@ DICTIONARY_DOCS = 400
 DICTIONARY_BYTES = 65_536
 SEGMENT_BYTES = 2_000_000
 LEVEL = 3
-HEAD = struct.Struct("<4sBBH32sI")
+HEAD = "<4sBBH32sI"
 SEGMENTS = "part int, seq int, first_start long, n_ids long, segment binary"
 
 
@@ -100,7 +100,7 @@ def write(docs: DataFrame, path: str, end: int = END) -> tuple[DataFrame, bytes]
 
         def segment():
             n = len(ids)
-            head = HEAD.pack(b"TOKS", 1, width, 0, name, n)
+            head = struct.pack(HEAD, b"TOKS", 1, width, 0, name, n)
             index = (np.array([i is not None for i in ids], "u1").tobytes() + np.array([i or 0 for i in ids], "<i8").tobytes()
                      + np.array(counts, "<u8").tobytes() + np.cumsum([0, *map(len, frames)]).astype("<u8").tobytes())
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "first_start": pa.array([start], pa.int64()),
@@ -126,10 +126,10 @@ def write(docs: DataFrame, path: str, end: int = END) -> tuple[DataFrame, bytes]
 
 def _opened(segment: bytes, dictionary: bytes):
     """(width, ids or None, counts, offsets, where frames begin); refuses a segment of another dictionary."""
-    magic, version, width, _, name, n = HEAD.unpack_from(segment)
+    magic, version, width, _, name, n = struct.unpack_from(HEAD, segment)
     if (magic, version) != (b"TOKS", 1) or name != hashlib.sha256(dictionary).digest():
         raise ValueError("not a segment of this dictionary")
-    at = HEAD.size
+    at = struct.calcsize(HEAD)
     valid = np.frombuffer(segment, "u1", n, at)
     ids = np.frombuffer(segment, "<i8", n, at + n)
     counts = np.frombuffer(segment, "<u8", n, at + 9 * n)
