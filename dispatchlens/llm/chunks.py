@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterable
 
 #: Chunks kept by a worker before its cache starts anew (about 200 bytes each), and the longest one kept.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 1_200_000
 CACHE_CHARS = 64
 _DOUBLED = re.compile(r"\s | \s")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")

@@ -12,6 +12,7 @@ path of a text is that of its words, joined. Null texts are empty and have no id
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -153,7 +154,7 @@ def _encoder(path: str) -> ChunkEncoder:
 
     def encode(chunks):
         for c in chunks:
-            yield np.array(model.path(c.replace(" ", MARK)), "<u4").tobytes()
+            yield array("I", model.path(c.replace(" ", MARK))).tobytes()
 
     encoder = ChunkEncoder(encode)
     learn = encoder._learn
