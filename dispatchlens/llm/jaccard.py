@@ -64,6 +64,17 @@ def least_overlap(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+def _may_share(n, m, common):
+    """Whether two sets whose prefixes share so many tokens can be similar; columns.
+
+    The prefix that ends earlier in the order holds no other token of the other set, so what it lacks is lacking in the
+    whole; it may be either of the two.
+    """
+    needed = F.ceil(F.lit(PERCENT) * (n + m) / (100 + PERCENT))
+    prefix = lambda x: x - F.ceil(F.lit(PERCENT) * x / 100) + 1
+    return (prefix(n) - common <= n - needed) | (prefix(m) - common <= m - needed)
+
+
 def _extra(n: int) -> int:
     return n // 20
 
@@ -114,44 +125,47 @@ def _first(rows: DataFrame, kind: str) -> DataFrame:
 
 def _tiers(first: DataFrame) -> tuple[np.ndarray, int]:
     """For each bucket how far its count is above the usual load, in powers of two, and the first tier that is hot."""
-    found = first.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # COUNT_BUCKETS rows at most
+    found = first.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # COUNT_BUCKETS rows at most
     counts = np.zeros(COUNT_BUCKETS)
-    counts[found["bucket"].to_numpy(int)] = found["n"].to_numpy(float)
+    counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
     usual = float(np.median(counts))
     noise = 4 * math.sqrt(usual) + 8
     return np.floor(np.log2(np.maximum(1.0, (counts - usual) / noise))).astype(np.uint8), int(math.log2(max(2.0, HOT / noise)))
 
 
-def _postings(rows: DataFrame, tiers: np.ndarray, hot: int) -> DataFrame:
-    """(token, id, n, hot) of the tokens in prefixes under the first order: rising tier, then hash."""
+def _prefix(n):
+    """Tokens of a set of n that the first order's lists hold; a number or a column."""
+    return n - least_overlap(n) + 1
+
+
+def _postings(rows: DataFrame, tiers: np.ndarray, hot: int, wanted: bool) -> DataFrame:
+    """(token, id, n) of the hot or of the other tokens in prefixes under the first order: rising tier, then hash."""
     def each(_, sets):
-        token, node, size, heat = [], [], [], []
+        token, node, size = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
         for t in sets:
-            n = len(t)
-            if not n:
-                continue
-            p = n - least_overlap(n) + 1
-            tier = tiers[t & np.uint64(COUNT_BUCKETS - 1)]
-            order = np.lexsort((t, tier))[:p]
-            token.append(t[order])
-            heat.append(tier[order] >= hot)
-            node.append(np.full(p, _node(t)))
-            size.append(np.full(p, n, np.int32))
-        join = lambda x, d: np.concatenate([*x, np.empty(0, d)])
-        return {"token": pa.array(join(token, np.uint64).view(np.int64)), "id": pa.array(join(node, np.int64).astype(np.int64)), "n": pa.array(join(size, np.int32).astype(np.int32)), "hot": pa.array(join(heat, bool).astype(bool))}
-
-    return _map(rows, each, "token long, id long, n int, hot boolean").groupBy("token", "id").agg(F.first("n").alias("n"), F.first("hot").alias("hot"))
-
-
-def _lists(postings: DataFrame) -> DataFrame:
+            if len(t):
+                tier = tiers[t & np.uint64(COUNT_BUCKETS - 1)]
+                order = np.lexsort((t, tier))[:_prefix(len(t))]
+                order = order[(tier[order] >= hot) == wanted]
+                token.append(t[order])
+                node.append(np.full(len(order), _node(t)))
+                size.append(np.full(len(order), len(t), np.int32))
+        return {"token": pa.array(np.concatenate(token).view(np.int64)), "id": pa.array(np.concatenate(node)), "n": pa.array(np.concatenate(size))}
+
+    return _map(rows, each, "token long, id long, n int")
+
+
+def _lists(rows: DataFrame, tiers: np.ndarray, hot: int) -> DataFrame:
     """(token, id, n, pivot, pivot_n) of tokens with two nodes or more; the pivot is the list's least (n, id).
 
-    Lists of tokens that aren't hot are bounded by their bucket's count, and a window reads them; those of hot ones are joined.
+    Lists of tokens that aren't hot are bounded by their bucket's count, and a window reads them, after one exchange that also
+    serves to drop repeats. Those of hot tokens, from a reading of their own, are counted and joined.
     """
-    whole = Window.partitionBy("token")
     least = F.min(F.struct("n", "id"))
-    cool = postings.where("not hot").select("token", "id", "n", F.count("*").over(whole).alias("members"), least.over(whole).alias("pivot"))
-    warm = postings.where("hot").select("token", "id", "n")
+    whole = Window.partitionBy("token")
+    cool = _postings(rows, tiers, hot, False).repartition("token").dropDuplicates(["token", "id", "n"])
+    cool = cool.select("token", "id", "n", F.count("*").over(whole).alias("members"), least.over(whole).alias("pivot"))
+    warm = written(_postings(rows, tiers, hot, True).distinct(), "hot")
     heads = warm.groupBy(F.col("token").alias("_token")).agg(F.count("*").alias("members"), least.alias("pivot"))
     warm = warm.join(heads, F.col("token") == F.col("_token")).select("token", "id", "n", "members", "pivot")
     return cool.unionByName(warm).where("members > 1").select("token", "id", "n", F.col("pivot.id").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
@@ -178,7 +192,7 @@ class Join:
         need = written(owners.join(need, F.col("id") == F.col("need"), "left_semi"), "owners")
         bucket = F.pmod(F.xxhash64("owner"), F.lit(FILTER_BUCKETS))
         mask = np.zeros(FILTER_BUCKETS, bool)
-        mask[need.select(bucket.alias("x")).distinct().toPandas()["x"].to_numpy(int)] = True
+        mask[need.select(bucket.alias("x")).distinct().toArrow()["x"].to_numpy()] = True
         few = pa.array(np.flatnonzero(mask))
 
         def each(ids, sets):
@@ -197,9 +211,9 @@ class Join:
 
         rows = self.rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BUCKETS)).alias("x"))
         sets = rows.mapInArrow(run, f"doc_id {self.kind}, id long, second binary, third binary, tokens binary")
-        own = need.select(F.col("id").alias("_id"), F.col("owner").alias("_owner"))
-        sets = sets.join(own, (F.col("id") == F.col("_id")) & F.col("doc_id").eqNullSafe(F.col("_owner"))).select("id", "second", "third", "tokens")
-        sets = written(sets.dropDuplicates(["id"]), "sets")
+        # of the copies of a node only rows of its owner's bucket get here
+        sets = sets.join(need.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_semi")
+        sets = written(sets.select("id", "second", "third", "tokens").dropDuplicates(["id"]), "sets")
 
         def sided(frame, columns):
             for side in ("a", "b"):
@@ -225,7 +239,7 @@ class Join:
     def links(self) -> DataFrame:
         """Links (a, b) between nodes whose components are those of all similar pairs."""
         tiers, hot = _tiers(self.first)
-        lists = written(_lists(_postings(self.rows, tiers, hot)), "lists")
+        lists = written(_lists(self.rows, tiers, hot), "lists")
         star = lists.where((F.col("id") != F.col("pivot")) & _near(F.col("n"), F.col("pivot_n"))).select(
             F.col("id").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b")).distinct()
         found = self.verified(star)
@@ -241,9 +255,11 @@ class Join:
         two = rest.select(F.col("token").alias("t2"), F.col("label").alias("l2"), F.col("id").alias("b"), F.col("n").alias("n_b"))
         pairs = across.join(one, (F.col("token") == F.col("t1")) & (F.col("label") == F.col("l1")))
         pairs = pairs.join(two, (F.col("token") == F.col("t2")) & (F.col("_label") == F.col("l2")) & _near(F.col("n_a"), F.col("n_b")))
-        pairs = pairs.where((F.col("a") != F.col("p")) & (F.col("b") != F.col("p"))).select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(F.col("a") > F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-            F.when(F.col("a") > F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
+        swap = F.col("a") < F.col("b")
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
+                             F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"), ((F.col("a") == F.col("p")) | (F.col("b") == F.col("p"))).alias("done"))
+        pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"), F.max("done").alias("done"))
+        pairs = pairs.where(~F.col("done") & _may_share(F.col("n_a"), F.col("n_b"), F.col("common"))).select("a", "b", "n_a", "n_b")
         return found.unionByName(self.verified(pairs))
 
 

@@ -225,11 +225,11 @@ def scored(docs: DataFrame, held_out, path: str) -> DataFrame:
     counts = written(_counts(train), "counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = totals["n"], totals["v"]
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas().sort_values("word")  # FREQUENT rows of 16 bytes
+    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow().sort_by("word")  # FREQUENT rows of 16 bytes
     picked = train.select("doc_id").distinct().orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(FIT_DOCS)
     sample = train.join(F.broadcast(picked.select(F.col("doc_id").alias("_id"))), F.col("doc_id") == F.col("_id")).select("doc_id", F.left("text", F.lit(8 * FIT_TOKENS)).alias("text")).limit(FIT_DOCS).collect()
     model, _ = fit([r["text"] for r in sorted(sample, key=lambda r: (r["doc_id"], r["text"]))], path)
-    shared = spark.sparkContext.broadcast((top["word"].to_numpy(np.int64), top["c"].to_numpy(np.int64), model.w))
+    shared = spark.sparkContext.broadcast((top["word"].to_numpy(), top["c"].to_numpy(), model.w))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
