@@ -52,8 +52,7 @@ def score_steps(scored: DataFrame, score: str = SCORE, label: str = policy.LABEL
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("negatives_above"))
     inside = (W.partitionBy(*by, "bucket").orderBy(F.desc(score))
               .rowsBetween(W.unboundedPreceding, 0))
-    # At most MAX_BUCKETS offset rows per group.
-    return bucketed.join(F.broadcast(offsets), [*by, "bucket"]).withColumns({
+    return bucketed.join(offsets, [*by, "bucket"]).withColumns({
         "true_positives": F.col("positives_above") + F.sum("positives").over(inside),
         "false_positives": F.col("negatives_above") + F.sum("negatives").over(inside)})
 

@@ -529,8 +529,7 @@ def approximate_latency(spark, sf_dir):
 # Streams -------------------------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir) -> DataFrame:
-    events = (spark.readStream.schema(adapter.SCHEMAS["events"])
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    events = spark.readStream.schema(adapter.SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet")  # a file, or a folder of part files
     return adapter.as_request_log(events).withColumn("ts", F.col("ts").cast("timestamp"))
 
 

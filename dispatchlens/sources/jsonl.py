@@ -27,14 +27,14 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
-    """Text lines to records, skipping every line that is not a JSON object; other columns stay."""
-    bad = "_corrupt"
-    checked = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
-    record = F.from_json(F.col(line), checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    """Text lines to records, skipping every line that is not a JSON object; other columns stay.
+
+    Only the syntax decides about a line. A field whose value can't be read as its declared type is null.
+    """
     others = [c for c in lines.columns if c != line]
-    return (lines.where(F.trim(line).startswith("{")).withColumn("record", record)
-            .where(F.col(f"record.{bad}").isNull())
-            .select(*[F.col("record")[f.name].alias(f.name) for f in schema.fields], *others))
+    parsed = lines.select(F.try_parse_json(F.col(line)).alias("_record"), *others)
+    return (parsed.where(F.schema_of_variant("_record").startswith("OBJECT"))
+            .select(*[F.try_variant_get("_record", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields], *others))
 
 
 def stream_log(spark: SparkSession, folder: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
