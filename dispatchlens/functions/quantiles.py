@@ -7,11 +7,23 @@ of a gap.
 """
 
 import math
+import sys
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+OUTERMOST = sys.float_info.max
+
+
+def _fractional(df: DataFrame, columns) -> set[str]:
+    """The columns whose type has infinities."""
+    return {c for c in columns if df.schema[c].dataType.simpleString() in ("double", "float", "string")}
+
+
+def _given_back(value: float) -> float:
+    return math.copysign(math.inf, value) if abs(value) == OUTERMOST else value
+
 
 @dataclass
 class _Gap:
@@ -148,9 +160,17 @@ def order_statistics(df: DataFrame, ranks: dict[str, list[int]], sizes: dict[str
 
 def exact_quantiles(df: DataFrame, columns, probs, max_rows: int = 1_000_000,
                     accuracy: int = 10_000) -> dict[str, list[float] | None]:
-    """{column: value per probability}; nulls and NaN are left out, None for an empty column."""
+    """{column: value per probability}; nulls and NaN are left out, None for an empty column.
+
+    Infinities are ranked as the outermost doubles and given back as infinities; between one and a finite value lies
+    the infinity, and between both NaN.
+    """
     columns = list(columns)
     view = numeric_view(df, columns)
+    fractional = _fractional(df, columns)
+    # greatest() and least() skip nulls, which must stay nulls
+    held = {c: F.when(F.col(c).isNotNull(), F.greatest(F.lit(-OUTERMOST), F.least(F.lit(OUTERMOST), F.col(c)))) for c in fractional}
+    view = view.select([held[c].alias(c) if c in held else c for c in columns])
     row = view.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     sizes = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     places = {c: [p * (sizes[c] - 1) for p in probs] for c in columns if sizes[c]}
@@ -158,8 +178,11 @@ def exact_quantiles(df: DataFrame, columns, probs, max_rows: int = 1_000_000,
     found = order_statistics(view, ranks, sizes, max_rows, accuracy) if ranks else {}
 
     def at_place(c: str, at: float) -> float:
-        low, high = found[(c, math.floor(at))], found[(c, math.ceil(at))]
-        return low + (high - low) * (at - math.floor(at))
+        low, high = (_given_back(found[(c, rank)]) for rank in (math.floor(at), math.ceil(at)))
+        share = at - math.floor(at)
+        if low == high or not share:
+            return low
+        return low + (high - low) * share if math.isfinite(high - low) else (1 - share) * low + share * high
 
     return {c: [at_place(c, at) for at in places[c]] if c in places else None for c in columns}
 

@@ -25,9 +25,12 @@ def last_outcomes(outcomes: DataFrame) -> DataFrame:
 
 def with_retrain_state(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Runs plus retrain_state: null without an id, running until an outcome is known."""
-    known = last_outcomes(outcomes).select("dag_run_id", "state", F.lit(True).alias("known"))
+    known = last_outcomes(outcomes).select(F.col("dag_run_id").alias("_id"), "state", F.lit(True).alias("known"))
     state = F.when(_given("dag_run_id"), F.when(F.col("known"), F.col("state")).otherwise("running"))
-    return runs.join(known, "dag_run_id", "left").select(
+    # Runs without an id get keys of their own, so that they don't meet in one partition.
+    own = F.concat(F.lit("\0"), F.xxhash64(SEQUENCE).cast("string"))
+    key = F.when(_given("dag_run_id"), F.col("dag_run_id")).otherwise(own)
+    return runs.join(known, key == F.col("_id"), "left").select(
         *[runs[c] for c in runs.columns], state.alias("retrain_state"))
 
 

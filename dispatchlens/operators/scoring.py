@@ -2,10 +2,11 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dispatchlens import policy
 from dispatchlens.functions import expressions as X
+from dispatchlens.sources import files
 
 SCORE = "probability_late"
 SCORED_BY = "scored_by"
@@ -48,14 +49,10 @@ def score(features: DataFrame, model: PipelineModel | None, source: str = "model
 
 
 def load_model(path: str | None) -> PipelineModel | None:
-    """The stored pipeline, or None when there is none to read."""
-    if path is None:
-        return None
-    try:
-        return PipelineModel.load(path)
-    except Exception as problem:
-        print(f"no usable model at {path}: {type(problem).__name__}; scoring by the baseline")
+    """The stored pipeline, or None when none is stored there; one that can't be read raises."""
+    if path is None or not files.exists(SparkSession.active(), f"{path}/metadata"):
         return None
+    return PipelineModel.load(path)
 
 
 def risk_level(p: Column, high: float = policy.HIGH_RISK, medium: float = policy.MEDIUM_RISK) -> Column:
