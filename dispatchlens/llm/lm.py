@@ -4,8 +4,10 @@ Base: add-one counts of lower-cased words and text ends over all training docume
 64-bit hashes. The FREQUENT most frequent words (a table of fixed size) are looked up where a text is read; all other words go through a
 join, so that no count is left out and no vocabulary is sent whole.
 
-Model: one layer of causal self-attention over subword ids, trained here in numpy on a bounded sample (FIT_DOCS training documents of
-smallest hash, FIT_TOKENS ids of them at most). An id is predicted as four digits, each a softmax over the state and a bias by the
+Model: one layer of causal self-attention over subword ids, trained on all training documents. Their ids are dealt at random over
+tasks and ROUNDS. In a round each task starts from the weights sent to it and takes a step on each batch of its windows; the changes of a
+weight row, in proportion to the ids that used it, are averaged on Spark, and only the averages, of the weights' size, come back. A corpus of
+fewer ids than STEPS batches is read several times. An id is predicted as four digits, each a softmax over the state and a bias by the
 digits before it. A text is read in windows of WINDOW ids that start every STRIDE ids; each id, and the end, is scored once, in
 the window that sees most of what precedes it. Null texts are empty: their end alone is scored.
 """
@@ -27,12 +29,16 @@ from dispatchlens.llm.chunks import ChunkEncoder
 from dispatchlens.llm.store import written
 
 FREQUENT = 1 << 19
-FIT_DOCS = 400
-FIT_TOKENS = 200_000
 WINDOW, STRIDE = 32, 24
 WIDTH = 16
 DIGITS, BASE = 4, 15
 STEPS, BATCH, RATE = 250, 64, 0.15
+ROUNDS = 4
+#: Ids in one row of the training table, ids whose windows are mixed, and ids of the whole corpus for a task, at least and at most.
+BLOCK, MIXED = 8_192, 64 * BATCH * WINDOW
+TASK_IDS = (1 << 17, 1 << 24)
+#: Weight rows summed together.
+SUMMED = 4_096
 END_WORD = xxhash.xxh3_64_intdigest(b" ")
 ROUND = 256
 
@@ -64,6 +70,40 @@ def word_hashes(text: str) -> np.ndarray:
     return out
 
 
+#: The shape of each weight; all but the biases are whole rows of WIDTH.
+SHAPES = {"embed": (BASE ** DIGITS, WIDTH), "place": (WINDOW, WIDTH), "qkv": (WIDTH, 3 * WIDTH), "out": (WIDTH, WIDTH), "read": (WIDTH, DIGITS * BASE),
+          **{f"bias{d}": (BASE ** d, BASE) for d in range(DIGITS)}}
+
+
+def as_rows(weights: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights as one matrix of rows of WIDTH, in the order of SHAPES."""
+    return np.concatenate([np.pad(weights[n], ((0, 0), (0, WIDTH - BASE))) if n.startswith("bias") else weights[n].reshape(-1, WIDTH) for n in SHAPES])
+
+
+def from_rows(rows: np.ndarray) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    for name, (n, width) in SHAPES.items():
+        size = n if name.startswith("bias") else n * width // WIDTH
+        part = rows[at:at + size]
+        out[name] = np.ascontiguousarray(part[:, :BASE] if name.startswith("bias") else part.reshape(n, width))
+        at += size
+    return out
+
+
+def _summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different indices and the sum of each one's rows."""
+    order = np.argsort(index, kind="stable")
+    held = index[order]
+    starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+    return held[starts], np.add.reduceat(values[order], starts, axis=0)
+
+
+#: The digits of each id, and which columns of the digits' values belong together.
+DIGITS_OF = np.stack([np.arange(BASE ** DIGITS) // BASE ** (DIGITS - 1 - d) % BASE for d in range(DIGITS)], 1)
+GROUPS = np.repeat(np.eye(DIGITS, dtype=np.float32), BASE, axis=0)
+PLACES = np.arange(DIGITS) * BASE
+
+
 class Attention:
     """The model's weights and passes. Each weight is a float32 array in `w`."""
 
@@ -74,13 +114,18 @@ class Attention:
     @classmethod
     def started(cls, ids: np.ndarray) -> Attention:
         """Random states, and digit biases from the counts of the ids, so that training starts at the unigram model."""
+        return cls.counted(np.bincount(ids, minlength=BASE ** DIGITS))
+
+    @classmethod
+    def counted(cls, counts: np.ndarray) -> Attention:
         rng = np.random.default_rng(0)
         def small(*shape):
             return (rng.standard_normal(shape) * 0.1).astype(np.float32)
         weights = {"embed": small(BASE ** DIGITS, WIDTH), "place": small(WINDOW, WIDTH), "qkv": small(WIDTH, 3 * WIDTH) * 2, "out": small(WIDTH, WIDTH), "read": small(WIDTH, DIGITS * BASE)}
-        counts = np.bincount(ids, minlength=BASE ** DIGITS).astype(np.float64) + 0.05
+        counts = counts.astype(np.float64) + 0.05
         for d in range(DIGITS):
-            weights[f"bias{d}"] = np.log(counts.reshape(BASE ** (d + 1), -1).sum(1)).reshape(BASE ** d, BASE).astype(np.float32)
+            shares = counts.reshape(BASE ** d, BASE, -1).sum(2)
+            weights[f"bias{d}"] = np.log(shares / shares.sum(1, keepdims=True)).astype(np.float32)
         return cls(weights)
 
     def states(self, before: np.ndarray):
@@ -91,22 +136,21 @@ class Attention:
         seen *= 1 / math.sqrt(WIDTH)
         seen += self.mask
         np.exp(seen, out=seen)
-        seen /= seen.sum(2, keepdims=True)
+        seen /= seen @ np.ones((WINDOW, 1), np.float32)
         met = seen @ v
         return x, q, k, v, seen, met, x + (met.reshape(-1, WIDTH) @ w["out"]).reshape(x.shape)
 
     def digits(self, state: np.ndarray, ids: np.ndarray):
         """Softmax of each digit, and the digits: state and ids are flat."""
-        logits = (state @ self.w["read"]).reshape(-1, DIGITS, BASE)
-        own = np.empty((len(ids), DIGITS), np.int64)
+        logits = state @ self.w["read"]
+        own = DIGITS_OF[ids]
         for d in range(DIGITS):
-            prefix = ids // BASE ** (DIGITS - d)
-            own[:, d] = ids // BASE ** (DIGITS - 1 - d) % BASE
-            logits[:, d] += self.w[f"bias{d}"][prefix]
-        logits -= logits.max(2, keepdims=True)
+            logits[:, d * BASE:(d + 1) * BASE] += self.w[f"bias{d}"][ids // BASE ** (DIGITS - d)] if d else self.w["bias0"]
+        np.minimum(logits, 60, out=logits)  # biases start as log shares, so the largest is no need to be subtracted
         np.exp(logits, out=logits)
-        logits /= logits.sum(2, keepdims=True)
-        return logits, own
+        p = logits.reshape(-1, DIGITS, BASE)
+        p /= np.maximum(logits @ GROUPS, 1e-30)[:, :, None]
+        return p, own
 
     def step(self, before: np.ndarray, ids: np.ndarray, memory: dict[str, np.ndarray]) -> float:
         """One Adagrad step on windows (before: ids that precede, ids: to predict); the mean loss."""
@@ -114,17 +158,13 @@ class Attention:
         x, q, k, v, seen, met, state = self.states(before)
         flat, own = state.reshape(-1, WIDTH), ids.reshape(-1)
         p, digit = self.digits(flat, own)
-        rows = np.arange(len(own))
-        picked = np.stack([p[rows, d, digit[:, d]] for d in range(DIGITS)], 1)
-        for d in range(DIGITS):
-            p[rows, d, digit[:, d]] -= 1
-        p /= len(own)
-        grads: dict[str, np.ndarray] = {}
-        for d in range(DIGITS):
-            g = np.zeros_like(w[f"bias{d}"])
-            np.add.at(g, own // BASE ** (DIGITS - d), p[:, d])
-            grads[f"bias{d}"] = g
         wide = p.reshape(len(own), -1)
+        at = np.arange(len(own))[:, None] * wide.shape[1] + PLACES + digit
+        picked = wide.reshape(-1)[at]
+        wide.reshape(-1)[at] = picked - 1
+        wide *= 1 / len(own)
+        grads: dict[str, np.ndarray] = {}
+        sparse = {f"bias{d}": _summed(own // BASE ** (DIGITS - d), p[:, d]) for d in range(DIGITS)}
         grads["read"] = flat.T @ wide
         g_state = (wide @ w["read"].T).reshape(state.shape)
         grads["out"] = met.reshape(-1, WIDTH).T @ g_state.reshape(-1, WIDTH)
@@ -136,14 +176,14 @@ class Attention:
         grads["qkv"] = x.reshape(-1, WIDTH).T @ g_qkv.reshape(-1, 3 * WIDTH)
         g_x = g_state + g_qkv @ w["qkv"].T
         grads["place"] = g_x.sum(0)
-        used, where = np.unique(before, return_inverse=True)
-        g_embed = np.zeros((len(used), WIDTH), np.float32)
-        np.add.at(g_embed, where.reshape(-1), g_x.reshape(-1, WIDTH))
+        sparse["embed"] = _summed(before.reshape(-1), g_x.reshape(-1, WIDTH))
         for name, g in grads.items():
             memory[name] += g * g
             w[name] -= RATE * g / (np.sqrt(memory[name]) + 1e-6)
-        memory["embed"][used] += g_embed * g_embed
-        w["embed"][used] -= RATE * g_embed / (np.sqrt(memory["embed"][used]) + 1e-6)
+        for name, (used, g) in sparse.items():
+            held = memory[name][used] + g * g
+            memory[name][used] = held
+            w[name][used] -= RATE * g / (np.sqrt(held) + 1e-6)
         return float(-np.log(np.maximum(picked, 1e-30)).sum(1).mean())
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -169,31 +209,174 @@ class Attention:
             wanted = (after[part] >= 0) & (np.arange(WINDOW) >= first[part, None])
             ids = after[part][wanted]
             p, digit = self.digits(state[wanted], ids)
-            rows = np.arange(len(ids))
-            total = p[rows, 0, digit[:, 0]].astype(np.float64)
-            for d in range(1, DIGITS):
-                total *= p[rows, d, digit[:, d]]
+            total = p.reshape(-1)[np.arange(len(ids))[:, None] * (DIGITS * BASE) + PLACES + digit].astype(np.float64).prod(1)
             of = np.broadcast_to(owner[part][:, None], wanted.shape)[wanted]
             out += np.bincount(of, np.log10(np.maximum(total, 1e-300)), len(texts))
         return out
 
 
+def _blocks(ids: np.ndarray) -> list[np.ndarray]:
+    """The ids of a text and its end in blocks of BLOCK, each with the id before it in front."""
+    whole = np.concatenate([[END_ID], ids, [END_ID]]).astype("<u2")
+    return [whole[at:at + BLOCK + 1] for at in range(0, len(whole) - 1, BLOCK)]
+
+
+def _batches(blocks):
+    """(before, after) of BATCH windows at a time, mixed among MIXED ids; every id of the blocks is to predict at least once."""
+    rng = np.random.default_rng(1)
+    held, size = [], 0
+
+    def windows(last):
+        nonlocal held, size
+        before, after = np.concatenate(held, axis=1)
+        whole = len(before) // WINDOW * WINDOW
+        rest, more = len(before) - whole, []
+        if last and rest:  # the last window starts earlier; a stream under a window is repeated
+            more = [(x[-WINDOW:] if len(x) >= WINDOW else np.resize(x, WINDOW))[None] for x in (before, after)]
+        held, size = ([np.stack([before[whole:], after[whole:]])], rest) if rest and not last else ([], 0)
+        pairs = [x[:whole].reshape(-1, WINDOW) for x in (before, after)]
+        if more:
+            pairs = [np.concatenate([x, y]) for x, y in zip(pairs, more, strict=True)]
+        order = rng.permutation(len(pairs[0]))
+        for at in range(0, len(order), BATCH):
+            yield tuple(x[order[at:at + BATCH]].astype(np.int64) for x in pairs)
+
+    for block in blocks:
+        held.append(np.stack([block[:-1], block[1:]]))
+        size += len(block) - 1
+        if size >= MIXED:
+            yield from windows(False)
+    if size:
+        yield from windows(True)
+
+
+def _uses(ids: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """How many ids used each weight row: ids and before are counts by id."""
+    n = float(ids.sum())
+    of = {"embed": before, **{f"bias{d}": ids.reshape(BASE ** d, -1).sum(1) for d in range(DIGITS)}}
+    return np.concatenate([of[k] if k in of else np.full(a * b // WIDTH, n) for k, (a, b) in SHAPES.items()])
+
+
+def _memory(rows: np.ndarray) -> dict[str, np.ndarray]:
+    return from_rows(np.repeat(rows[:, None], WIDTH, axis=1).astype(np.float32))
+
+
 def fit(texts: list[str], path: str) -> tuple[Attention, list[float]]:
-    """The model trained on texts in the order given, and the loss of each step."""
-    ids = [np.concatenate([x, [END_ID]]).astype(np.int64) for x in _ids(texts, path)] or [np.array([END_ID])]
-    stream = np.concatenate([[END_ID], *ids])[: FIT_TOKENS + 1]
-    if len(stream) <= WINDOW + 1:
-        stream = np.resize(stream, WINDOW + 2)
-    model = Attention.started(stream[1:])
+    """The model trained on texts by one task, and the loss of each step."""
+    blocks = [b for x in _ids(texts, path) for b in _blocks(x)] or _blocks(np.empty(0, "<u2"))
+    model = Attention.started(np.concatenate([b[1:] for b in blocks]).astype(np.int64))
     memory = {name: np.full_like(v, 1e-4) for name, v in model.w.items()}
-    rng = np.random.default_rng(1)
-    losses = []
-    for _ in range(STEPS):
-        at = rng.integers(0, len(stream) - WINDOW - 1, BATCH)[:, None] + np.arange(WINDOW)
-        losses.append(model.step(stream[at], stream[at + 1], memory))
+    losses: list[float] = []
+    while len(losses) < STEPS:
+        losses += [model.step(*pair, memory) for pair in _batches(blocks)]
     return model, losses
 
 
+def fitted(train: DataFrame, path: str) -> Attention:
+    """The model trained on Spark over every id of the texts of train."""
+    spark = train.sparkSession
+
+    def encode(batches):
+        row = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                blocks = [b.tobytes() for x in _ids(batch.column(0).slice(at, 64).to_pylist(), path) for b in _blocks(x)]
+                yield pa.RecordBatch.from_pydict({"row": pa.array(range(row, row + len(blocks)), pa.int64()), "ids": pa.array(blocks, pa.binary())})
+                row += len(blocks)
+
+    def count(batches):
+        total = np.zeros(BASE ** DIGITS, np.int64)
+        for batch in batches:
+            blocks = [np.frombuffer(x, "<u2")[1:] for x in batch.column(0).to_pylist()]
+            total += np.bincount(np.concatenate(blocks), minlength=len(total)) if blocks else 0
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"id": pa.array(used), "c": pa.array(total[used])})
+
+    # dealt by a hash of the place, so that no task or round has a single source, language or group of copies
+    dealt = train.select("text").mapInArrow(encode, "row long, ids binary").withColumn("mix", F.xxhash64("row"))
+    dealt = dealt.withColumn("round", F.pmod(F.col("mix"), F.lit(ROUNDS)).cast("int")).repartition("row").sortWithinPartitions("round", "mix")
+    table = written(dealt.select("round", "ids"), "ids")
+    seen = table.select("ids").mapInArrow(count, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).toArrow()  # one row an id of the vocabulary
+    counts = np.zeros(BASE ** DIGITS, np.int64)
+    counts[seen["id"].to_numpy()] = seen["c"].to_numpy()
+    n = int(counts.sum())
+    model = Attention.counted(counts)
+    if not n:
+        return model
+    passes = max(1, -(-STEPS * BATCH * WINDOW // n))
+    least, most = TASK_IDS
+    tasks = max(min(spark.sparkContext.defaultParallelism, -(-n // least)), -(-n // most))
+    rows, memory = as_rows(model.w), np.full(len(as_rows(model.w)), 1e-4)
+    for r in range(ROUNDS):
+        shared = spark.sparkContext.broadcast((rows, memory))
+        found = table.where(F.col("round") == r).select("ids").coalesce(tasks).mapInArrow(_task(shared, passes), "part int, block int, data binary")
+        found = found.repartition(-(-len(rows) // SUMMED), "block").sortWithinPartitions("block", "part").mapInArrow(_sums, "block int, data binary")
+        rows, memory = rows.copy(), memory.copy()
+        for block, data in zip(*found.toArrow().to_pydict().values(), strict=True):  # as many values as there are weights
+            used, change = _unpacked(data)
+            at = used + block * SUMMED
+            rows[at] += (change[:, 2:] / change[:, :1]).astype(np.float32)
+            memory[at] += change[:, 1] / change[:, 0]
+        shared.unpersist()
+    return Attention(from_rows(rows))
+
+
+def _packed(used: np.ndarray, values: np.ndarray) -> bytes:
+    return len(used).to_bytes(4, "little") + used.astype("<i4").tobytes() + values.astype("<f4").tobytes()
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    return np.frombuffer(data, "<i4", n, 4), np.frombuffer(data, "<f4", offset=4 + 4 * n).reshape(n, 2 + WIDTH).astype(np.float64)
+
+
+def _task(shared, passes: int):
+    """Local steps over a task's blocks; by blocks of weight rows: uses, growth of memory and change, both times uses."""
+    def run(batches):
+        start, grown = shared.value
+        model = Attention({k: v.copy() for k, v in from_rows(start).items()})
+        memory = _memory(grown)
+        ids, before = np.zeros(BASE ** DIGITS), np.zeros(BASE ** DIGITS)
+        blocks = (np.frombuffer(x, "<u2") for batch in batches for x in batch.column(0).to_pylist())
+        blocks = list(blocks) * passes if passes > 1 else blocks  # repeated only when the whole corpus is small
+        for first, then in _batches(blocks):
+            model.step(first, then, memory)
+            before += np.bincount(first.reshape(-1), minlength=len(before))
+            ids += np.bincount(then.reshape(-1), minlength=len(ids))
+        uses = _uses(ids, before)
+        growth = as_rows(memory)
+        growth[:, BASE:] = np.where(growth[:, BASE:] == 0, growth[:, :1], growth[:, BASE:])  # biases are one short of WIDTH
+        values = np.column_stack([uses, (growth.mean(1) - grown) * uses, (as_rows(model.w) - start) * uses[:, None]])
+        part = TaskContext.get().partitionId()
+        for block in range(-(-len(uses) // SUMMED)):
+            own = values[block * SUMMED:(block + 1) * SUMMED]
+            used = np.flatnonzero(own[:, 0])
+            if len(used):
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "data": pa.array([_packed(used, own[used])], pa.binary())})
+
+    return run
+
+
+def _sums(batches):
+    """Sums of the tasks' values, a block at a time: rows come by block."""
+    held, total = None, np.zeros((SUMMED, 2 + WIDTH))
+
+    def flushed():
+        used = np.flatnonzero(total[:, 0])
+        return pa.RecordBatch.from_pydict({"block": pa.array([held], pa.int32()), "data": pa.array([_packed(used, total[used])], pa.binary())})
+
+    for batch in batches:
+        for block, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if held is not None and block != held:
+                yield flushed()
+                total[:] = 0
+            held = block
+            used, values = _unpacked(data)
+            total[used] += values
+    if held is not None:
+        yield flushed()
+
+
 def _counts(rows: DataFrame) -> DataFrame:
     """(word, c) over all tokens of the rows' texts."""
     def run(batches):
@@ -226,9 +409,7 @@ def scored(docs: DataFrame, held_out, path: str) -> DataFrame:
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = totals["n"], totals["v"]
     top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow().sort_by("word")  # FREQUENT rows of 16 bytes
-    picked = train.select("doc_id").distinct().orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(FIT_DOCS)
-    sample = train.join(F.broadcast(picked.select(F.col("doc_id").alias("_id"))), F.col("doc_id") == F.col("_id")).select("doc_id", F.left("text", F.lit(8 * FIT_TOKENS)).alias("text")).limit(FIT_DOCS).collect()
-    model, _ = fit([r["text"] for r in sorted(sample, key=lambda r: (r["doc_id"], r["text"]))], path)
+    model = fitted(train, path)
     shared = spark.sparkContext.broadcast((top["word"].to_numpy(), top["c"].to_numpy(), model.w))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
