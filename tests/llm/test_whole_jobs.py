@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from dispatchlens.llm import lm
+from dispatchlens.llm import html, lm
 from dispatchlens.llm.queries import MULTI_BPE
 
 
@@ -32,3 +32,15 @@ def test_weights_as_rows_come_back():
     model = lm.Attention.started(np.arange(100))
     back = lm.from_rows(lm.as_rows(model.w))
     assert all((back[k] == v).all() for k, v in model.w.items())
+
+
+def test_repeated_boilerplate_in_the_container_is_left_out(spark):
+    """A box of an unlisted class on all pages of a host is a constant; what differs, or stands on one page copied often, stays."""
+    def page(i):
+        return f"<html><body><main><h1>Title {i}</h1><div class=x7>Subscribe to our letter</div><p>Story number {i} is long enough.</p></main></body></html>"
+
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(8)]
+    rows += [(100 + i, f"http://b.example/{i}", page(77)) for i in range(9)] + [(200, "http://b.example/x", page(78))]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert all(got[i] == f"Title {i}\nStory number {i} is long enough." for i in range(8))
+    assert got[103] == "Title 77\nSubscribe to our letter\nStory number 77 is long enough."
