@@ -13,6 +13,14 @@ from dispatchlens.llm.text import identified, with_spans
 
 AROUND = 48
 THRESHOLD = 0.5
+#: Characters of an account number by country, as registered; those of other codes are taken as far as they go.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+_IBAN = "|".join(f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
 #: Possessive forms, and a start only where a run starts, keep each search linear in the text. After a match that ends
 #: inside a run, \G lets the rest of the run be searched.
 PATTERNS = {
@@ -20,7 +28,7 @@ PATTERNS = {
     "ip": "(?<![0-9])[0-9]++(?:\\.[0-9]++){3}+",
     "card": "[0-9](?:[\\x20-]?[0-9]){12,}+",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
-    "iban": "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": f"(?<![A-Za-z0-9])(?:{_IBAN}|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{11,30}}+)(?![A-Za-z0-9])",
     "national_id": "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": "(?<![0-9+().-])\\(?[0-9]{3}\\)?[\\x20.-][0-9]{3}[\\x20.-][0-9]{4}(?![0-9-])",
     "spelled_email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\\x20?[(\\[]at[)\\]]\\x20?[A-Za-z0-9-]++(?:(?:\\.|\\x20?[(\\[]dot[)\\]]\\x20?)[A-Za-z0-9-]++)++",

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GAP = "[\\x20\\x09-\\x0D]+"
 BLOCK = 256
+#: Characters of the shortest match whose surroundings are asked for.
+SHORTEST = 5
 
 
 def identified(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -55,7 +57,7 @@ def ends(found: Column, gaps: Column) -> Column:
 def with_spans(frame: DataFrame, patterns: dict[str, str], around: int = 0) -> DataFrame:
     """For each named pattern a column of structs (start, stop, hit, before, after); text must be a column.
 
-    before and after are at most `around` characters between this match and its neighbours of the same pattern.
+    before and after are the `around` characters on either side, other matches of the pattern included.
     """
     names = list(patterns)
     kept = [c for c in frame.columns if not c.startswith("_found_")]
@@ -65,12 +67,22 @@ def with_spans(frame: DataFrame, patterns: dict[str, str], around: int = 0) -> D
 
     def spans(n):
         found, gaps, stops = (F.col(f"_{x}_{n}") for x in ("found", "gaps", "ends"))
+        side, most = F.lit(around), around // SHORTEST + 1  # no more neighbours than that reach into a side
+
+        def before(i):
+            n = F.least(i, F.lit(most))
+            pieces = F.zip_with(F.slice(gaps, i - n + 1, n), F.slice(found, i - n + 1, n), lambda gap, hit: F.concat(F.right(gap, side), F.right(hit, side)))
+            return F.right(F.concat(F.array_join(pieces, ""), F.right(F.get(gaps, i), side)), side)
+
+        def after(i):
+            n = F.least(F.size(found) - i - 1, F.lit(most))
+            pieces = F.zip_with(F.slice(found, i + 2, n), F.slice(gaps, i + 3, n), lambda hit, gap: F.concat(F.left(hit, side), F.left(gap, side)))
+            return F.left(F.concat(F.left(F.get(gaps, i + 1), side), F.array_join(pieces, "")), side)
 
         def span(hit, i):
             stop = F.get(stops, i)
             return F.struct((stop - F.length(hit)).alias("start"), stop.alias("stop"), hit.alias("hit"),
-                            F.right(F.get(gaps, i), F.lit(around)).alias("before"),
-                            F.left(F.get(gaps, i + 1), F.lit(around)).alias("after"))
+                            (before(i) if around else F.lit("")).alias("before"), (after(i) if around else F.lit("")).alias("after"))
 
         return F.transform(found, span).alias(n)
 

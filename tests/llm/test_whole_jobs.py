@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from dispatchlens.llm import html, lm
+from dispatchlens.llm import html, lm, pii
 from dispatchlens.llm.queries import MULTI_BPE
 
 
@@ -44,3 +44,23 @@ def test_repeated_boilerplate_in_the_container_is_left_out(spark):
     got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
     assert all(got[i] == f"Title {i}\nStory number {i} is long enough." for i in range(8))
     assert got[103] == "Title 77\nSubscribe to our letter\nStory number 77 is long enough."
+
+
+def test_account_numbers_end_by_country_and_lists_share_context(spark):
+    texts = ["DE89 3704 0044 0532 0130 00 BIC: COBADEFF", "DE89370400440532013000 EUR 500", "to DE89 3704 0044 0532 0130 00 Bank", "NO93 8601 1117 947 NOK",
+             "DE89370400440532013001 EUR", "SSN 123-45-6789, 123-45-6780", "call 212-555-0100, 212-555-0101, 212-555-0102", "123-45-6789, 123-45-6780"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"]:s["stop"]]) for s in r["spans"] if s["kind"] not in pii.BASE] for r in pii.find_pii(docs).collect()}
+    spaced, whole = ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "DE89370400440532013000")
+    assert [got[i] for i in range(5)] == [[spaced], [whole], [spaced], [("iban", "NO93 8601 1117 947")], []]
+    assert got[5] == [("national_id", "123-45-6789"), ("national_id", "123-45-6780")]
+    assert got[6] == [("local_phone", f"212-555-010{k}") for k in range(3)] and got[7] == []
+
+
+def test_context_is_the_text_on_either_side(spark):
+    from dispatchlens.llm.text import with_spans
+
+    text = "é call " + "12345 " * 40 + "x" * 60 + "12345 end"
+    row = with_spans(spark.createDataFrame([(text,)], "text string"), {"n": "[0-9]{5}"}, 48).first()
+    assert len(row["n"]) == 41
+    assert all((s["before"], s["after"]) == (text[max(0, s["start"] - 48):s["start"]], text[s["stop"]:s["stop"] + 48]) for s in row["n"])
