@@ -1,8 +1,8 @@
 """Secrets: strong patterns, and weak parts of credentials that are reported only where complementary parts lie near.
 
 Null texts count as empty. Strong kinds are leftmost and non-overlapping; one that fails its length is dropped without
-another try. Weak parts are linked by an interval join within a document: a sliding range of SCOPE characters over the starts of
-all its parts, so that no pairs are written. A weak secret needs an identifier in its scope, an identifier a secret,
+another try. Weak parts are linked by an interval join within a document: parts are near if at most SCOPE characters lie between the
+end of one and the start of the other, seen from the last end before and the first start after by role, so that no pairs are written. A weak secret needs an identifier in its scope, an identifier a secret,
 an endpoint both. Rows that repeat an id and a text give as many equal results.
 """
 
@@ -48,11 +48,15 @@ def _parts(found: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame) -> DataFrame:
     """(doc_id, _hash, copies, spans) for each id and text."""
     parts = _parts(with_spans(identified(docs), PATTERNS))
-    near = Window.partitionBy("doc_id", "_hash").orderBy("start").rangeBetween(-SCOPE, SCOPE)
+    whole = Window.partitionBy("doc_id", "_hash")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    back, ahead = whole.orderBy("start").rangeBetween(*so_far), whole.orderBy(F.desc("start")).rangeBetween(*so_far)
 
     def beside(role):
         kinds = [k for k, r in ROLES.items() if r == role]
-        return F.max(F.col("kind").isin(kinds)).over(near)
+        own = F.col("kind").isin(kinds)
+        last_stop, next_start = F.max(F.when(own, F.col("stop"))).over(back), F.min(F.when(own, F.col("start"))).over(ahead)
+        return F.coalesce(last_stop >= F.col("start") - SCOPE, F.lit(False)) | F.coalesce(next_start <= F.col("stop") + SCOPE, F.lit(False))
 
     parts = parts.select("*", beside("identifier").alias("has_identifier"), beside("secret").alias("has_secret"))
     linked = (F.when(F.col("kind").isin(*BASE), True).when(F.col("kind") == "weak_secret", F.col("has_identifier"))

@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from dispatchlens.llm import html, lm, pii
+from dispatchlens.llm import html, lm, pii, secrets
 from dispatchlens.llm.queries import MULTI_BPE
 
 
@@ -64,3 +64,13 @@ def test_context_is_the_text_on_either_side(spark):
     row = with_spans(spark.createDataFrame([(text,)], "text string"), {"n": "[0-9]{5}"}, 48).first()
     assert len(row["n"]) == 41
     assert all((s["before"], s["after"]) == (text[max(0, s["start"] - 48):s["start"]], text[s["stop"]:s["stop"] + 48]) for s in row["n"])
+
+
+def test_parts_are_linked_over_a_long_value(spark):
+    """The scope is what lies between two parts, not their own length."""
+    far = " " * (secrets.SCOPE + 1)
+    value = "token=" + "Z" * 400
+    texts = [f"{value} user=alice", f"{value} user=alice host: db.example.org", f"{value}{far}user=alice", f"{value}{far[:-1]}user=alice"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.find_secrets(docs).collect()}
+    assert got == {0: ["assign", "identifier"], 1: ["assign", "identifier", "endpoint"], 2: ["assign"], 3: ["assign", "identifier"]}
