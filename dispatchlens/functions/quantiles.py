@@ -7,24 +7,11 @@ of a gap.
 """
 
 import math
-import sys
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-OUTERMOST = sys.float_info.max
-
-
-def _fractional(df: DataFrame, columns) -> set[str]:
-    """The columns whose type has infinities."""
-    return {c for c in columns if df.schema[c].dataType.simpleString() in ("double", "float", "string")}
-
-
-def _given_back(value: float) -> float:
-    return math.copysign(math.inf, value) if abs(value) == OUTERMOST else value
-
-
 @dataclass
 class _Gap:
     """Rows of a column with low < value < high (None: no bound) and the ranks looked for there."""
@@ -131,14 +118,13 @@ def _ranked(df: DataFrame, gaps: list[_Gap]) -> dict[tuple[str, int], float]:
         inside = (v > F.get(F.lit([gaps[i].low for i in ids]), nth)) & (v < F.get(F.lit([gaps[i].high for i in ids]), nth))
         return F.when(inside, F.get(F.lit(ids), nth))
 
-    found = {f"gap_{c}": gap_of(c, ids) for c, ids in by_column.items()}
-    # Rows outside every gap leave before they are copied per column.
-    kept = cut.withColumns(found).where(F.coalesce(*found).isNotNull())
-    cells = F.array(*[F.struct(F.col(f"gap_{c}").alias("gap"), F.col(c).alias("value")) for c in by_column])
+    # An array of the row's cells, not a filter over all columns: a condition on many derived columns makes the optimizer
+    # write it anew for every subset of them. The outer form keeps it from adding such a condition by itself.
+    cells = F.array(*[F.struct(gap_of(c, ids).alias("gap"), F.col(c).alias("value")) for c, ids in by_column.items()])
+    kept = cut.select(F.inline_outer(F.filter(cells, lambda cell: cell["gap"].isNotNull()))).where("gap IS NOT NULL")
     wanted = F.array(*[F.lit([r - g.below for r in g.ranks]) for g in gaps])
     upto = F.sum("n").over(W.partitionBy("gap").orderBy("value"))
-    hits = (kept.select(F.inline(cells)).where("gap IS NOT NULL")
-            .groupBy("gap", "value").agg(F.count("*").alias("n")).withColumn("upto", upto)
+    hits = (kept.groupBy("gap", "value").agg(F.count("*").alias("n")).withColumn("upto", upto)
             .select("gap", "value", F.filter(F.get(wanted, F.col("gap")), lambda r: (
                 (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))).alias("hit"))
             .where(F.size("hit") > 0))
@@ -158,27 +144,49 @@ def order_statistics(df: DataFrame, ranks: dict[str, list[int]], sizes: dict[str
     return values | (_ranked(df, gaps) if gaps else {})
 
 
+def _finite_view(df: DataFrame, columns) -> DataFrame:
+    """The columns as doubles; NaN and both infinities are null."""
+    as_double = {c: F.col(c).cast("double") for c in columns}
+    return df.select([F.when(F.abs(v) < math.inf, v).alias(c) for c, v in as_double.items()])
+
+
+def _sizes(df: DataFrame, columns) -> dict[str, tuple[int, int, int]]:
+    """{column: rows at minus infinity, finite rows, rows at infinity}, in one pass."""
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        aggs += [F.count_if(v == -math.inf).alias(f"low{i}"), F.count_if(F.abs(v) < math.inf).alias(f"finite{i}"),
+                 F.count_if(v == math.inf).alias(f"high{i}")]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"low{i}"], row[f"finite{i}"], row[f"high{i}"]) for i, c in enumerate(columns)}
+
+
 def exact_quantiles(df: DataFrame, columns, probs, max_rows: int = 1_000_000,
                     accuracy: int = 10_000) -> dict[str, list[float] | None]:
     """{column: value per probability}; nulls and NaN are left out, None for an empty column.
 
-    Infinities are ranked as the outermost doubles and given back as infinities; between one and a finite value lies
-    the infinity, and between both NaN.
+    Infinities are counted with the sizes and take the outermost ranks, only finite values are searched. Between an
+    infinity and a finite value lies the infinity, and between both NaN.
     """
     columns = list(columns)
-    view = numeric_view(df, columns)
-    fractional = _fractional(df, columns)
-    # greatest() and least() skip nulls, which must stay nulls
-    held = {c: F.when(F.col(c).isNotNull(), F.greatest(F.lit(-OUTERMOST), F.least(F.lit(OUTERMOST), F.col(c)))) for c in fractional}
-    view = view.select([held[c].alias(c) if c in held else c for c in columns])
-    row = view.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    sizes = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    places = {c: [p * (sizes[c] - 1) for p in probs] for c in columns if sizes[c]}
-    ranks = {c: [r for at in ats for r in (math.floor(at), math.ceil(at))] for c, ats in places.items()}
-    found = order_statistics(view, ranks, sizes, max_rows, accuracy) if ranks else {}
+    sizes = _sizes(df, columns)
+    places = {c: [p * (sum(sizes[c]) - 1) for p in probs] for c in columns if sum(sizes[c])}
+    ranks = {}
+    for c, ats in places.items():
+        low, finite, _ = sizes[c]
+        inside = [r - low for at in ats for r in (math.floor(at), math.ceil(at)) if low <= r < low + finite]
+        if inside:
+            ranks[c] = inside
+    found = order_statistics(_finite_view(df, columns), ranks, {c: sizes[c][1] for c in ranks}, max_rows, accuracy) if ranks else {}
+
+    def at_rank(c: str, rank: int) -> float:
+        low, finite, _ = sizes[c]
+        if rank < low:
+            return -math.inf
+        return found[(c, rank - low)] if rank < low + finite else math.inf
 
     def at_place(c: str, at: float) -> float:
-        low, high = (_given_back(found[(c, rank)]) for rank in (math.floor(at), math.ceil(at)))
+        low, high = at_rank(c, math.floor(at)), at_rank(c, math.ceil(at))
         share = at - math.floor(at)
         if low == high or not share:
             return low

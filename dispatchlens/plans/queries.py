@@ -6,7 +6,7 @@ from dispatchlens import policy, schemas, session
 from dispatchlens.functions import expressions as X
 from dispatchlens.operators import (contract, drift, evaluation, importance, opslog, order_features as features_op,
                                     prep, scoring, service, split, training)
-from dispatchlens.sources import adapter, jsonl, tables
+from dispatchlens.sources import adapter, files, jsonl, tables
 from dispatchlens.sources.layers import Layers, write_csv
 from dispatchlens.streaming import service as streams
 
@@ -529,7 +529,7 @@ def approximate_latency(spark, sf_dir):
 # Streams -------------------------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir) -> DataFrame:
-    events = spark.readStream.schema(adapter.SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet")  # a file, or a folder of part files
+    events = files.stream_parquet(spark, f"{sf_dir}/events.parquet", adapter.SCHEMAS["events"])
     return adapter.as_request_log(events).withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from dispatchlens import schemas
 from dispatchlens.operators import service
-from dispatchlens.sources import jsonl
+from dispatchlens.sources import files as sources, jsonl
 from dispatchlens.streaming import service as streams
-from test_logs import VALID
+from test_logs import record
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "event_id BIGINT, endpoint STRING, latency_ms DOUBLE, ts TIMESTAMP"
@@ -67,14 +67,15 @@ def test_latency_stream_equals_batch(spark, tmp_path):
 
 def test_stream_scoring_routes_records(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    lines = [json.dumps(VALID), json.dumps(VALID), json.dumps(VALID | {"is_late_delivery": 1}), "broken{"]
+    own = record(estimated_delivery_days=17, freight_sum=40.0, purchase_hour=21)  # 0.06 + 0.306 + 0.048 + 0.012
+    lines = [json.dumps(own), json.dumps(own), json.dumps(own | {"is_late_delivery": 1}), "broken{"]
     (tmp_path / "in" / "a.txt").write_text("\n".join(lines) + "\n")
     records = spark.readStream.text(str(tmp_path / "in")).withColumnRenamed("value", "payload")
     query = streams.to_parquet(streams.scored_records(records), str(tmp_path / "out"), str(tmp_path / "state"), ["outcome"])
     query.awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     good = out.where("outcome = 'accepted'").collect()
-    assert [(r.late_delivery_probability, r.risk_level) for r in good] == [(0.228, "low")] * 2
+    assert [(r.late_delivery_probability, r.risk_level) for r in good] == [(0.426, "medium")] * 2
     bad = out.where("outcome = 'quarantined'").collect()
     assert sorted(r.violations[0] for r in bad) == ["unknown:is_late_delivery", "unreadable"]
     assert all(r.late_delivery_probability is None and r.risk_level is None for r in bad)
@@ -94,3 +95,20 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path, runs):
         stream = (spark.readStream.schema(SCHEMA).option("recursiveFileLookup", True).parquet(str(tmp_path / "in")))
         got = drained(stream, tmp_path)
     assert sorted(r.event_id for r in got.collect()) == list(range(runs))
+
+
+@pytest.mark.parametrize("name", ["a folder", "one file", "odd [name]"])
+def test_a_stream_reads_a_folder_or_one_file(spark, tmp_path, name):
+    rows = spark.createDataFrame([(n, "/a", 1.0, T0) for n in range(50)], SCHEMA).coalesce(1)
+    path = tmp_path / name
+    rows.write.parquet(str(path if name == "a folder" else tmp_path / "made"))
+    if name != "a folder":
+        (tmp_path / "other").write_text("not part of the stream")
+        next((tmp_path / "made").glob("*.parquet")).rename(path)
+    stream = sources.stream_parquet(spark, str(path), SCHEMA)
+    assert sorted(r.event_id for r in drained(stream, tmp_path).collect()) == list(range(50))
+
+
+def test_an_absent_stream_source_is_refused(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        sources.stream_parquet(spark, str(tmp_path / "none"), SCHEMA)
