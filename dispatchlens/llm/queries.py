@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlens.llm import decontaminate, html, jaccard, lm, pieces, pii, quality, secrets, tokens, toxicity
+from dispatchlens.llm import decontaminate, fingerprints, html, jaccard, lm, pieces, pii, quality, resampling, search, secrets, tokens, toxicity
 from dispatchlens.llm.shipping import ship
 from dispatchlens.llm.text import digest, joined
 
@@ -83,6 +83,18 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, grammar).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_clauses")
 
 
+def op11_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark, sf_dir):
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_search(spark, sf_dir):
+    return search.searched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -92,5 +104,6 @@ def pipeline(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii, "op2_secrets": op2_secrets, "op3_sentencepiece": op3_sentencepiece, "op4_lm": op4_lm, "op5_html": op5_html,
     "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_tokens": op8_tokens, "op9_jaccard": op9_jaccard,
-    "op10_toxicity": op10_toxicity, "pipeline": pipeline,
+    "op10_toxicity": op10_toxicity, "op11_fingerprints": op11_fingerprints, "op12_resampling": op12_resampling, "op13_search": op13_search,
+    "pipeline": pipeline,
 }
