@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -52,7 +53,7 @@ class Words:
 def sliced(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts, the last column, have about so many bytes; a longer text is a slice alone."""
     for batch in batches:
-        sizes = np.cumsum([len(x) for x in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()])
+        sizes = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1)).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
             upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))

@@ -41,11 +41,11 @@ STEP = 32
 NO_ID = (1 << 63) - 1
 
 
-def grouped_queries(queries: DataFrame, key: str, text: str) -> DataFrame:
+def grouped_queries(queries: DataFrame, key: str, text: str, group_words: int = GROUP_WORDS) -> DataFrame:
     """(group, item, text): rows with a term-sized share of words each, numbered by group."""
     rows = queries.select(queries[key].alias("item"), F.coalesce(queries[text].cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.size(F.split("text", "[^0-9A-Za-z\\x80-\\x{10FFFF}]+")))).first()[0] or 0
-    groups = -(-size // GROUP_WORDS) or 1
+    groups = -(-size // group_words) or 1
     return rows.select(F.pmod(F.xxhash64(F.col("item").cast("string"), "text"), F.lit(groups)).alias("group"), "item", "text")
 
 
@@ -70,7 +70,8 @@ def _postings(texts: list[str], vocabulary: dict[bytes, int]) -> tuple[np.ndarra
     return n, pairs // max(len(vocabulary), 1), pairs % max(len(vocabulary), 1), tf
 
 
-def index(docs: DataFrame, vocabulary: dict[bytes, int], key: str = "doc_id", text: str = "text") -> DataFrame:
+def index(docs: DataFrame, vocabulary: dict[bytes, int], key: str = "doc_id", text: str = "text",
+          block_docs: int = BLOCK_DOCS, block_postings: int = BLOCK_POSTINGS) -> DataFrame:
     """Blocks of posting lists of the vocabulary's terms: ids, sizes, lists (term, begin), documents and occurrences.
 
     n_docs and n_words count all documents with a word, also those without a term of the vocabulary, which need no place in a block.
@@ -99,7 +100,7 @@ def index(docs: DataFrame, vocabulary: dict[bytes, int], key: str = "doc_id", te
             has, place = np.unique(owner, return_inverse=True)
             held.append((ids[has], n[has], place + count, terms, tf))
             size, count = size + len(terms), count + len(has)
-            if count >= BLOCK_DOCS or size >= BLOCK_POSTINGS:
+            if count >= block_docs or size >= block_postings:
                 yield block(held, n_docs, n_words)
                 held, size, count, n_docs, n_words = [empty], 0, 0, 0, 0
         if n_docs:
@@ -170,7 +171,7 @@ class Block:
         return np.where(some, self.impact[place], 0), place
 
 
-def best_of(block: Block, query: Query, weight: np.ndarray, top: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def best_of(block: Block, query: Query, weight: np.ndarray, top: int, best: list[tuple[int, int]], step: int = STEP) -> list[tuple[int, int]]:
     """The `top` highest (score, -id) of those in `best` and the block's documents, as a heap.
 
     A score is above 0. The heap's first entry is the worst one kept; while it isn't full, every score above 0 is wanted.
@@ -195,7 +196,7 @@ def best_of(block: Block, query: Query, weight: np.ndarray, top: int, best: list
         if not len(bound):
             return best
         # the highest bounds, of equal ones those of the smallest documents
-        taken = np.lexsort((first, -bound))[:STEP]
+        taken = np.lexsort((first, -bound))[:step]
         lo, hi, at, own, spot = low[taken], high[taken], first[taken], value[taken], place[taken]
         # the split: the document of the greatest single contribution
         chosen = spot[np.arange(len(taken)), np.argmax(own * factor, axis=1)]
@@ -241,17 +242,18 @@ def _searched(blocks: DataFrame, queries: list[Query], n_docs: int, n_words: int
     return blocks.select("ids", "sizes", "lists", "begins", "owners", "tfs").mapInArrow(run, "query int, doc_id long, score long")
 
 
-def searched(docs: DataFrame, queries: DataFrame, top: int = 10, doc_key: str = "doc_id", query_key: str = "item_id", text: str = "text") -> DataFrame:
+def searched(docs: DataFrame, queries: DataFrame, top: int = 10, doc_key: str = "doc_id", query_key: str = "item_id", text: str = "text",
+             block_docs: int = BLOCK_DOCS, group_words: int = GROUP_WORDS) -> DataFrame:
     """(item_id, rank, doc_id, score): up to `top` documents of a score above 0 for each query, best first, equal ones by id."""
     spark = docs.sparkSession
-    asked = written(grouped_queries(queries, query_key, text), "queries")
+    asked = written(grouped_queries(queries, query_key, text, group_words), "queries")
     kind = queries.schema[query_key].dataType.simpleString()
     parts = []
     for g in [r["group"] for r in asked.select("group").distinct().orderBy("group").collect()]:
         rows = asked.where(F.col("group") == g).orderBy("item", "text").collect()  # about GROUP_WORDS words
         vocabulary: dict[bytes, int] = {}
         own = [Query(r["text"], vocabulary) for r in rows]
-        blocks = index(docs, vocabulary, doc_key, text)
+        blocks = index(docs, vocabulary, doc_key, text, block_docs)
         n_docs, n_words, df = frequencies(blocks, len(vocabulary))
         found = _searched(blocks, own, n_docs, n_words, term_weights(n_docs, df), top)
         order = Window.partitionBy("query").orderBy(F.desc("score"), "doc_id")
