@@ -1,70 +1,86 @@
 """Ranking and calibration metrics from cumulative counts over distinct scores.
 
-Rows are counted per distinct score first. Scores are then cut into buckets of about equal size,
-small per-bucket totals give every bucket its starting point, and running sums stay inside a
-bucket, so no task sorts the whole score column.
+Rows are counted per distinct score first and the counts are stored, so that the scores are made once. Where there are many,
+Spark's range partitioning deals them out into as many buckets as the rows ask for; running sums stay inside a bucket,
+a bucket starts at the sums of its block of buckets so far, and a block at the sums of the blocks before. No task sorts the
+whole score column, and no list of buckets is bounded or held by the driver.
 """
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window as W, functions as F
+import math
 
-from dispatchlens import policy
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from dispatchlens import policy, session
 from dispatchlens.operators.scoring import SCORE
 
-MAX_BUCKETS = 4096
+#: Distinct scores that one task ranks.
 ROWS_PER_BUCKET = 500_000
 
 
-def score_edges(scored: DataFrame, score: str = SCORE, rows_per_bucket: int = ROWS_PER_BUCKET,
-                copies: int = 1) -> list[float]:
-    """Inner edges of score buckets of about equal size; none when one bucket is enough.
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = session.scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _same(left: DataFrame, right: DataFrame, columns) -> Column:
+    """Equal in all columns, nulls among them."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & left[c].eqNullSafe(right[c])
+    return out
 
-    `copies` tells how many tables of this size are going to be ranked together.
-    """
-    rows = scored.where(F.col(score).isNotNull())
-    buckets = min(MAX_BUCKETS, -(-rows.count() * copies // rows_per_bucket))
-    if buckets < 2:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    return sorted(set(rows.agg(F.percentile_approx(score, probs, 4 * MAX_BUCKETS)).first()[0]))
+
+def _starts(placed: DataFrame, by: list[str], buckets: int) -> DataFrame:
+    """(by, bucket, positives_above, negatives_above): sums of all buckets before, by blocks of buckets."""
+    side = math.isqrt(max(buckets - 1, 0)) + 1
+    totals = placed.groupBy(*by, "bucket").agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
+    totals = totals.withColumn("block", F.floor(F.col("bucket") / side))
+
+    def before(column, window):
+        return F.coalesce(F.sum(column).over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    blocks = totals.groupBy(*by, "block").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    upto = W.partitionBy(*by).orderBy("block")
+    blocks = blocks.select(*by, "block", before("p", upto).alias("block_p"), before("n", upto).alias("block_n"))
+    inside = W.partitionBy(*by, "block").orderBy("bucket")
+    totals = totals.select(*by, "block", "bucket", before("p", inside).alias("own_p"), before("n", inside).alias("own_n"))
+    return totals.join(blocks, _same(totals, blocks, [*by, "block"])).select(
+        *[totals[c] for c in (*by, "bucket")], (F.col("block_p") + F.col("own_p")).alias("positives_above"),
+        (F.col("block_n") + F.col("own_n")).alias("negatives_above"))
 
 
 def score_steps(scored: DataFrame, score: str = SCORE, label: str = policy.LABEL, by=(),
-                rows_per_bucket: int = ROWS_PER_BUCKET, edges: list[float] | None = None) -> DataFrame:
+                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Per distinct score: positives, negatives, and both summed from the top score down."""
     by = list(by)
     rows = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(*by, score, label)
-    if edges is None:
-        edges = score_edges(rows, score, rows_per_bucket)
-    counts = rows.groupBy(*by, score).agg(
+    counts = _stored(rows.groupBy(*by, score).agg(
         F.sum(label).cast("bigint").alias("positives"),
-        F.sum(1 - F.col(label)).cast("bigint").alias("negatives"))
-    if not edges:
+        F.sum(1 - F.col(label)).cast("bigint").alias("negatives")), "scores")
+    buckets = -(-counts.count() // rows_per_bucket)
+    if buckets < 2:
         down = W.partitionBy(*by).orderBy(F.desc(score)).rowsBetween(W.unboundedPreceding, 0)
         return counts.withColumns({"true_positives": F.sum("positives").over(down),
                                    "false_positives": F.sum("negatives").over(down)})
-    bucketed = Bucketizer(splits=[-float("inf"), *edges, float("inf")], inputCol=score,
-                          outputCol="bucket").transform(counts)
-    above = W.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = bucketed.groupBy(*by, "bucket").agg(
-        F.sum("positives").alias("p"), F.sum("negatives").alias("n")).select(
-        *by, "bucket", F.coalesce(F.sum("p").over(above), F.lit(0)).alias("positives_above"),
-        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("negatives_above"))
-    inside = (W.partitionBy(*by, "bucket").orderBy(F.desc(score))
-              .rowsBetween(W.unboundedPreceding, 0))
-    return bucketed.join(offsets, [*by, "bucket"]).withColumns({
-        "true_positives": F.col("positives_above") + F.sum("positives").over(inside),
-        "false_positives": F.col("negatives_above") + F.sum("negatives").over(inside)})
+    # Stored, so that a bucket's number holds for its rows and for its start alike.
+    placed = _stored(counts.repartitionByRange(buckets, F.desc(score)).withColumn("bucket", F.spark_partition_id()), "buckets")
+    starts = _starts(placed, by, buckets)
+    inside = W.partitionBy(*by, "bucket").orderBy(F.desc(score)).rowsBetween(W.unboundedPreceding, 0)
+    return placed.join(starts, _same(placed, starts, [*by, "bucket"])).select(
+        *[placed[c] for c in placed.columns], "positives_above", "negatives_above").withColumns({
+            "true_positives": F.col("positives_above") + F.sum("positives").over(inside),
+            "false_positives": F.col("negatives_above") + F.sum("negatives").over(inside)})
 
 
 def evaluate(scored: DataFrame, score: str = SCORE, label: str = policy.LABEL, by=(),
-             threshold: float = 0.5, rows_per_bucket: int = ROWS_PER_BUCKET,
-             edges: list[float] | None = None) -> DataFrame:
+             threshold: float = 0.5, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """pr_auc (average precision), roc_auc, brier, f1_at_0_5, val_positive_rate, rows per group.
 
     roc_auc is null when only one class is present; f1 is 0 when undefined.
     """
-    steps = score_steps(scored, score, label, by, rows_per_bucket, edges)
+    steps = score_steps(scored, score, label, by, rows_per_bucket)
     p, s = F.col("positives").cast("double"), F.col(score)
     n = F.col("negatives").cast("double")
     tp, fp = F.col("true_positives").cast("double"), F.col("false_positives").cast("double")

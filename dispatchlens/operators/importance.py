@@ -7,10 +7,10 @@ more than a block.
 
 import math
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from dispatchlens import policy
-from dispatchlens.operators.evaluation import evaluate, score_edges
+from dispatchlens.operators.evaluation import evaluate
 from dispatchlens.operators.scoring import SCORE
 
 ROWS_PER_BLOCK = 100_000
@@ -27,6 +27,10 @@ def shuffled(rows: DataFrame, seed: int, digits: int, columns) -> DataFrame:
             .drop("token", "block"))
 
 
+def _is_text(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StringType)
+
+
 def permutation_importance(validation: DataFrame, score, features=policy.FEATURES, repeats: int = 5,
                            seed: int = policy.SEED, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Mean and deviation of the AUC drop per feature.
@@ -38,15 +42,20 @@ def permutation_importance(validation: DataFrame, score, features=policy.FEATURE
     rows = validation.count()
     digits = max(0, math.ceil(math.log(max(rows, 1) / rows_per_block, 16)))
     plain = score(validation).select(SCORE, policy.LABEL)
-    edges = score_edges(plain, copies=len(features) * repeats)
     base = evaluate(plain).select(F.col("roc_auc").alias("base_auc"))
     mixed = None
     for r in range(repeats):
         part = shuffled(validation, seed + r, digits, features).withColumn("repeat", F.lit(r))
         mixed = part if mixed is None else mixed.unionByName(part)
-    swapped = (mixed.withColumn("feature", F.explode(F.lit(features)))
-               .withColumns({f: F.when(F.col("feature") == f, F.col("other")[f]).otherwise(F.col(f))
-                             for f in features}).drop("other"))
-    auc = evaluate(score(swapped), by=["feature", "repeat"], edges=edges).withColumn("base_auc", base.scalar())
+    kinds = {f: validation.schema[f].dataType for f in features}
+    # A copy carries its one exchanged value, as a number or as text, not the other row.
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"),
+                               (F.lit(None) if _is_text(kinds[f]) else F.col("other")[f]).cast("double").alias("number"),
+                               (F.col("other")[f] if _is_text(kinds[f]) else F.lit(None)).cast("string").alias("text")) for f in features])
+    keep = [c for c in mixed.columns if c != "other"]
+    copies = mixed.select(*keep, F.inline(cells))
+    swapped = copies.withColumns({f: F.when(F.col("feature") == f, F.col("text" if _is_text(kinds[f]) else "number").cast(kinds[f]))
+                                  .otherwise(F.col(f)) for f in features}).drop("number", "text")
+    auc = evaluate(score(swapped), by=["feature", "repeat"]).withColumn("base_auc", base.scalar())
     drop = F.col("base_auc") - F.col("roc_auc")
     return auc.groupBy("feature").agg(F.avg(drop).alias("auc_drop"), F.stddev_pop(drop).alias("auc_drop_std"))

@@ -26,10 +26,11 @@ def with_baseline(features: DataFrame) -> DataFrame:
 
 
 def model_probability(model: PipelineModel, features: DataFrame, name: str = SCORE) -> DataFrame:
-    """The input with P(late) in [0, 1] from a fitted pipeline, without the pipeline's own columns."""
+    """The input with P(late) in [0, 1] from a fitted pipeline, without the pipeline's own columns; null where it gives none."""
     scored = model.transform(features)
     probability = vector_to_array("probability")[1]
-    return scored.select(*features.columns, X.clip_unit(probability).alias(name))
+    # NaN is greater than 1 to Spark, so clipping alone would make it a certain delay
+    return scored.select(*features.columns, F.when(~F.isnan(probability), X.clip_unit(probability)).alias(name))
 
 
 def with_fallback(scored: DataFrame, model_column: str, source: str) -> DataFrame:

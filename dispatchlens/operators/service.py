@@ -42,18 +42,27 @@ def prediction_requests(requests: DataFrame, endpoints=policy.PREDICTION_ENDPOIN
             .groupBy("endpoint").agg(F.count("*").alias("requests")))
 
 
+def step_counts(events: DataFrame, by: list[str], ts: str = "ts", slide_minutes: int = 1) -> DataFrame:
+    """Events per step of a slide's length: `at`, its end `until`, and `n`."""
+    return (events.groupBy(*by, F.window(ts, f"{slide_minutes} minutes").alias("step")).agg(F.count("*").alias("n"))
+            .select(*by, F.col("step.start").alias("at"), F.col("step.end").alias("until"), "n"))
+
+
+def sliding(steps: DataFrame, by: list[str], width_minutes: int = 5, slide_minutes: int = 1) -> DataFrame:
+    """Events per second in sliding windows, from counts per step."""
+    width, slide = f"{width_minutes} minutes", f"{slide_minutes} minutes"
+    return (steps.groupBy(*by, F.window("at", width, slide).alias("w")).agg(F.sum("n").alias("events"))
+            .select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events",
+                    (F.col("events") / (60.0 * width_minutes)).alias("per_second")))
+
+
 def rates(events: DataFrame, by: list[str], ts: str = "ts", width_minutes: int = 5,
           slide_minutes: int = 1) -> DataFrame:
     """Events per second in sliding windows.
 
     Events are counted per slide first; only those few counts are copied into every window.
     """
-    slide, width = f"{slide_minutes} minutes", f"{width_minutes} minutes"
-    per_slide = (events.groupBy(*by, F.window(ts, slide).alias("step")).agg(F.count("*").alias("n"))
-                 .select(*by, F.col("step.start").alias("at"), "n"))
-    return (per_slide.groupBy(*by, F.window("at", width, slide).alias("w")).agg(F.sum("n").alias("events"))
-            .select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events",
-                    (F.col("events") / (60.0 * width_minutes)).alias("per_second")))
+    return sliding(step_counts(events, by, ts, slide_minutes), by, width_minutes, slide_minutes)
 
 
 def latency_histogram(requests: DataFrame, by: list, ts: str = "ts", width_minutes: int = 5) -> DataFrame:

@@ -522,12 +522,20 @@ UNION ALL SELECT 'http_latency', 'avg_seconds', round(sum(latency_ms) / 1000 / c
 SELECT endpoint, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(w + INTERVAL 5 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS events,
        round(count(*) / 300e0, 6) AS per_second
-FROM (SELECT endpoint, time_bucket(INTERVAL 5 MINUTE, ts) AS w FROM requests)
-WHERE w + INTERVAL 5 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM requests) - INTERVAL 10 MINUTE
-GROUP BY endpoint, w"""),
-    "stream_latency": q(LATENCY, """
-SELECT window_start, window_end, n, p50, p95, p99 FROM quantiles
-WHERE w + INTERVAL 5 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM requests) - INTERVAL 10 MINUTE"""),
+FROM (SELECT endpoint, time_bucket(INTERVAL 5 MINUTE, ts) AS w FROM requests) GROUP BY endpoint, w"""),
+    "stream_latency": q(LATENCY, "SELECT window_start, window_end, n, p50, p95, p99 FROM quantiles"),
+    "stream_reconciled_runs": q(RUNS, "SELECT new_commit, status, dag_run_id, retrain_state FROM reconciled"),
+    "stream_arrivals": """
+WITH sent AS (SELECT event_id, ts, unnest(CASE WHEN event_id % 10 = 3 THEN [once, least(once + 1, 2)] ELSE [once] END) AS delivery
+    FROM (SELECT event_id, ts, least((day(ts) - 1) // 10 + CASE WHEN event_id % 50 = 7 THEN 1 ELSE 0 END, 2) AS once FROM events)),
+marks AS (SELECT d AS delivery, (SELECT max(ts) FROM sent WHERE delivery < d) - INTERVAL 10 MINUTE AS mark FROM (SELECT unnest([0, 1, 2]) AS d)),
+judged AS (SELECT event_id, delivery, coalesce(ts < mark, false) AS late FROM sent JOIN marks USING (delivery))
+SELECT event_id, CAST(delivery AS INTEGER) AS delivery, CASE WHEN late THEN 'late'
+       WHEN row_number() OVER (PARTITION BY event_id, late ORDER BY delivery) > 1 THEN 'repeat' ELSE 'kept' END AS fate FROM judged""",
+    "stream_model_change": q(CHECKED, """
+SELECT record_id, CASE WHEN record_id % 2 = 0 THEN 'late:past' ELSE 'late:all' END AS model_version,
+       CASE WHEN len(broken) = 0 THEN 'model' END AS scored_by, CASE WHEN len(broken) = 0 THEN 'accepted' ELSE 'quarantined' END AS outcome,
+       len(broken) = 0 AS has_score, CASE WHEN len(broken) = 0 THEN true END AS band_agrees FROM judged"""),
     "stream_scoring": q(CHECKED + """,
 final AS (SELECT record_id, f.*, broken FROM judged JOIN features f ON f.order_id = record_id),
 scored AS (SELECT *, CASE WHEN len(broken) = 0 THEN
@@ -549,3 +557,7 @@ _PLACES = [*NUMBER_FEATURES[:1], "payment_type_mode", *NUMBER_FEATURES[1:17], "p
            "order_id", "is_late_delivery", "purchase_ts"]
 ORACLE["contract_columns"] = q(FEATURES, " UNION ALL ".join(
     f"SELECT {i} AS place, '{c}' AS column_name, count({c}) AS present FROM features" for i, c in enumerate(_PLACES)))
+
+ORACLE |= {"logged_request_totals": ORACLE["request_totals"], "logged_error_totals": ORACLE["error_totals"], "logged_summary": ORACLE["service_summary"],
+           "logged_latency_quantiles": ORACLE["latency_quantiles"], "logged_risk_rates": ORACLE["risk_rates"],
+           "stream_error_rates": ORACLE["error_rates"], "stream_risk_rates": ORACLE["risk_rates"]}

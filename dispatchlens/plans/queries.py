@@ -8,7 +8,9 @@ from dispatchlens.operators import (contract, drift, evaluation, importance, ops
                                     prep, scoring, service, split, training)
 from dispatchlens.sources import adapter, files, jsonl, tables
 from dispatchlens.sources.layers import Layers, write_csv
-from dispatchlens.streaming import service as streams
+from dispatchlens.streaming import opslog as stream_log, service as streams
+from dispatchlens.streaming.arrivals import FATES, Arrivals
+from dispatchlens.streaming.models import ModelPointer, ScoredTable
 
 QUERIES = {}
 
@@ -88,6 +90,35 @@ def outcomes(spark, sf_dir) -> DataFrame:
     return jsonl.read_log(spark, path, schemas.RETRAIN_OUTCOME)
 
 
+def timed_outcomes_path(spark, sf_dir) -> str:
+    return session.written_path(spark, ("timed_outcomes", sf_dir), lambda p: adapter.write_json_lines(
+        adapter.timed_outcomes(spark, sf_dir), "position", p))
+
+
+def request_lines_path(spark, sf_dir) -> str:
+    """The request log as JSON lines, blank and cut-off ones among them."""
+    log = adapter.request_log(spark, sf_dir)
+    return session.written_path(spark, ("request_lines", sf_dir), lambda p: adapter.write_json_lines(
+        adapter.log_lines(log, "ts", "service.requests", "request", F.col("request_id")), "event_id", p))
+
+
+def prediction_lines_path(spark, sf_dir) -> str:
+    log = prediction_log(spark, sf_dir).join(features(spark, sf_dir).select(policy.ORDER_ID, policy.PURCHASE_TS), policy.ORDER_ID)
+    log = log.select(F.col(policy.ORDER_ID).alias("place"), F.col(policy.ORDER_ID).cast("string").alias(policy.ORDER_ID),
+                     *[c for c in log.columns if c != policy.ORDER_ID])
+    return session.written_path(spark, ("prediction_lines", sf_dir), lambda p: adapter.write_json_lines(
+        adapter.log_lines(log, policy.PURCHASE_TS, "service.predictions", "prediction", F.lit(None).cast("string")), "place", p))
+
+
+def logged_requests(spark, sf_dir) -> DataFrame:
+    """Request records parsed from their lines, in time."""
+    return jsonl.read_log(spark, request_lines_path(spark, sf_dir), schemas.REQUEST_LOG).withColumn("ts", jsonl.event_time())
+
+
+def logged_predictions(spark, sf_dir) -> DataFrame:
+    return jsonl.read_log(spark, prediction_lines_path(spark, sf_dir), schemas.PREDICTION_LOG).withColumn("ts", jsonl.event_time())
+
+
 def prediction_log(spark, sf_dir) -> DataFrame:
     p = F.col(scoring.SCORE)
     return with_stand_in_model(spark, sf_dir).select(
@@ -498,6 +529,33 @@ def service_summary(spark, sf_dir):
     return service.summary(adapter.request_log(spark, sf_dir), prediction_log(spark, sf_dir), ("purchase", "click"))
 
 
+@query
+def logged_request_totals(spark, sf_dir):
+    """From JSON lines to totals; blank and cut-off lines are left out."""
+    return service.request_totals(logged_requests(spark, sf_dir))
+
+
+@query
+def logged_error_totals(spark, sf_dir):
+    return service.error_totals(logged_requests(spark, sf_dir))
+
+
+@query
+def logged_summary(spark, sf_dir):
+    """The whole roll-up from both logs' JSON lines."""
+    return service.summary(logged_requests(spark, sf_dir), logged_predictions(spark, sf_dir), ("purchase", "click"))
+
+
+@query
+def logged_latency_quantiles(spark, sf_dir):
+    return service.latency_quantiles(service.latency_histogram(logged_requests(spark, sf_dir), []))
+
+
+@query
+def logged_risk_rates(spark, sf_dir):
+    return service.rates(logged_predictions(spark, sf_dir), ["risk_level"])
+
+
 @query
 def endpoint_rates(spark, sf_dir):
     return service.rates(adapter.request_log(spark, sf_dir), ["endpoint"])
@@ -549,16 +607,67 @@ def stream_deduplicated(spark, sf_dir):
         "event_id", "endpoint", "status", "latency_ms")
 
 
+def _whole(spark, sf_dir, name: str, build) -> DataFrame:
+    """build(path, checkpoint) over all input of a stream, its open windows among the rows; run once."""
+    path = session.written_path(spark, (name, sf_dir), lambda p: build(p + "/table", p + "/state").write.parquet(p + "/out"))
+    return spark.read.parquet(path + "/out")
+
+
 @query
 def stream_rates(spark, sf_dir):
-    return _drained(spark, sf_dir, "stream_rates", lambda: streams.windowed_rates(
-        _event_stream(spark, sf_dir), ["endpoint"]))
+    return _whole(spark, sf_dir, "stream_rates", lambda path, state: streams.whole_rates(
+        _event_stream(spark, sf_dir), ["endpoint"], path, state, slide_minutes=5))
 
 
 @query
 def stream_latency(spark, sf_dir):
-    return _drained(spark, sf_dir, "stream_latency", lambda: streams.windowed_latency(
-        _event_stream(spark, sf_dir), []))
+    return _whole(spark, sf_dir, "stream_latency", lambda path, state: streams.whole_latency(
+        _event_stream(spark, sf_dir), [], path, state))
+
+
+@query
+def stream_error_rates(spark, sf_dir):
+    """Sliding rates of failed requests by status."""
+    return _whole(spark, sf_dir, "stream_error_rates", lambda path, state: streams.whole_rates(
+        _event_stream(spark, sf_dir).where("status >= 400"), ["status"], path, state))
+
+
+@query
+def stream_risk_rates(spark, sf_dir):
+    """Sliding rates of predictions by band, from the prediction log's JSON lines as they arrive."""
+    lines = prediction_lines_path(spark, sf_dir)
+    return _whole(spark, sf_dir, "stream_risk_rates", lambda path, state: streams.whole_rates(
+        jsonl.stream_log(spark, lines, schemas.PREDICTION_LOG).withColumn("ts", jsonl.event_time()), ["risk_level"], path, state))
+
+
+@query
+def stream_reconciled_runs(spark, sf_dir):
+    """Runs joined with the outcomes of their retrains while both logs are read as streams."""
+    runs(spark, sf_dir)
+    log = jsonl.stream_log(spark, session.written_path(spark, ("deploy_runs", sf_dir), None), schemas.DEPLOY_RUN).withColumn(
+        "run_at", F.coalesce(F.try_to_timestamp("finished_at"), F.try_to_timestamp("started_at")))
+    ended = jsonl.stream_log(spark, timed_outcomes_path(spark, sf_dir), schemas.TIMED_OUTCOME).withColumn("outcome_at", F.try_to_timestamp("recorded_at"))
+    stream = stream_log.reconciled(log, ended)
+    return _whole(spark, sf_dir, "stream_reconciled", lambda path, state: stream_log.reconciled_table(
+        stream, path, "new_commit").drained(stream, state, "append").select("new_commit", "status", "dag_run_id", "retrain_state"))
+
+
+@query
+def stream_arrivals(spark, sf_dir):
+    """Three deliveries of the events, some late, some twice: every record sent is kept, a repeat or late."""
+    def build(path, state):
+        schema = adapter.arrivals(spark, sf_dir, 0).schema
+        table = Arrivals(path, schema, "event_id")
+        for n in range(3):  # the stream stops between deliveries and goes on where it was
+            adapter.arrivals(spark, sf_dir, n).write.parquet(f"{path}-in/{n}")
+            source = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}-in")
+            table.start(source, state).awaitTermination()
+        counts = table.counts(spark)
+        if counts["sent"] != sum(counts[f] for f in FATES):
+            raise AssertionError(f"records went missing: {counts}")
+        return table.read(spark)
+
+    return _whole(spark, sf_dir, "stream_arrivals", build).select("event_id", "delivery", "fate")
 
 
 @query
@@ -600,6 +709,34 @@ def model_predictions(spark, sf_dir):
     return scoring.predictions(scored_rows, "logistic_regression").drop("scored_at")
 
 
+@query
+def stream_model_change(spark, sf_dir):
+    """Records scored while the current model changes: the first half by the model fitted on the past, the second by one fitted on all
+    orders. One row per record: which version scored it, whether its score and band are sound."""
+    sent = records(spark, sf_dir)
+
+    def fit_all(path):
+        training.fit_candidates(features(spark, sf_dir), ["logistic_regression"])["logistic_regression"].write().overwrite().save(path)
+
+    def build(path, state):
+        pointer = ModelPointer(path + "-current.json")
+        table = ScoredTable(path, pointer)
+        _fitted(spark, sf_dir, "logistic_regression")
+        versions = {"late:past": session.written_path(spark, ("logistic_regression", sf_dir), None),
+                    "late:all": session.written_path(spark, ("logistic_regression_all", sf_dir), fit_all)}
+        for half, (version, stored) in enumerate(versions.items()):
+            sent.where(F.col("record_id") % 2 == half).write.parquet(f"{path}-in/{half}")
+            pointer.publish(spark, version, stored)
+            source = spark.readStream.schema(sent.schema).option("recursiveFileLookup", True).parquet(f"{path}-in")
+            table.start(source, state).awaitTermination()
+        return table.read(spark, streams.scored_records(sent).schema)
+
+    p = F.col("late_delivery_probability")
+    out = _whole(spark, sf_dir, "stream_model_change", build)
+    return out.select("record_id", "model_version", "scored_by", "outcome", F.coalesce(p.between(0, 1), F.lit(False)).alias("has_score"),
+                      (scoring.risk_level(p) == F.col("risk_level")).alias("band_agrees"))
+
+
 @query
 def random_forest(spark, sf_dir):
     return _board(spark, sf_dir, ["random_forest"])

@@ -3,7 +3,6 @@
 from pyspark.sql import types as T
 
 
-
 def _struct(columns: str) -> T.StructType:
     """Schema from "name TYPE, ..." with simple types; needs no running session."""
     kinds = {"STRING": T.StringType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(),
@@ -47,6 +46,8 @@ DEPLOY_RUN = T.StructType([
     T.StructField("actions", _struct("restart STRING, trigger STRING, import STRING")),
     *_struct("dag_run_id STRING, host STRING")])
 RETRAIN_OUTCOME = _struct("dag_run_id STRING, state STRING, deploy_commit STRING")
+#: As a stream needs it: with the time the record was written.
+TIMED_OUTCOME = _struct("dag_run_id STRING, state STRING, deploy_commit STRING, recorded_at STRING")
 
 LOG_ENVELOPE = "timestamp STRING, level STRING, logger STRING, message STRING, request_id STRING"
 REQUEST_LOG = _struct(

@@ -2,6 +2,8 @@
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,7 @@ SETTINGS = {
 }
 
 _written: dict[tuple[str, ...], str] = {}
+_shipped: set[str] = set()
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -64,3 +67,22 @@ def written(spark: SparkSession, key: tuple[str, ...], build) -> DataFrame:
     executors were lost.
     """
     return spark.read.parquet(written_path(spark, key, lambda path: build().write.parquet(path)))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder for something its user deletes again."""
+    return run_path(spark, f"{name}-{os.urandom(6).hex()}")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application: Python tasks import them."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp()) / f"{root.name}.zip"  # served by the driver, read nowhere else
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, f"{root.name}/{file.relative_to(root)}")
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)

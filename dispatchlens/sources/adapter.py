@@ -200,6 +200,33 @@ def retrain_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "state", F.md5(e.cast("string")).alias("deploy_commit")))
 
 
+def timed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcomes with the time they were recorded at, half an hour after the run and then after each other."""
+    return (retrain_outcomes(spark, sf_dir).join(
+        table(spark, sf_dir, "events").select(F.md5(F.col("event_id").cast("string")).alias("deploy_commit"), "ts"), "deploy_commit")
+        .withColumn("recorded_at", iso(_plus("MINUTE", 30 * (1 + F.col("position") % 2), F.col("ts")))).drop("ts"))
+
+
+def iso(ts):
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def log_lines(events: DataFrame, ts: str, logger: str, message: str, request_id) -> DataFrame:
+    """Log records: the envelope in front of the event's own fields."""
+    return events.select(iso(ts).alias("timestamp"), F.lit("INFO").alias("level"), F.lit(logger).alias("logger"), F.lit(message).alias("message"),
+                         request_id.alias("request_id"), *[c for c in events.columns if c not in (ts, "request_id")])
+
+
+def arrivals(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
+    """One of three deliveries of the events: a third of the days each; every 50th event comes a delivery late, every 10th twice."""
+    e = F.col("event_id")
+    at = F.floor((F.dayofmonth("ts") - 1) / 10) + F.when(e % 50 == 7, 1).otherwise(0)
+    once = F.least(at, F.lit(2))
+    sent = F.array_compact(F.array(once, F.when(e % 10 == 3, F.least(once + 1, F.lit(2))))).cast("array<int>")
+    return (table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.explode(sent).alias("delivery"))
+            .where(F.col("delivery") == batch))
+
+
 def write_json_lines(records: DataFrame, order: str, path: str) -> None:
     """Records as JSON lines in append order, with a blank line now and then and cut-off lines."""
     line, at = F.to_json(F.struct(*[c for c in records.columns if c != order])), F.col(order)

@@ -43,3 +43,8 @@ def stream_log(spark: SparkSession, folder: str, schema: T.StructType, max_files
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return parse_lines(reader.text(folder), schema)
+
+
+def event_time(column: str = "timestamp"):
+    """The envelope's ISO time; null where it can't be read."""
+    return F.try_to_timestamp(column)

@@ -2,10 +2,10 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from dispatchlens import schemas
-from dispatchlens.sources import files
+from dispatchlens import schemas, session
+from dispatchlens.sources import files, records
 from dispatchlens.sources.layers import Layers
 
 
@@ -31,15 +31,32 @@ REGISTRY = {
 }
 
 
+# Texts that stand for a missing value.
+NULL_MARKERS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+                "NaN", "None", "n/a", "nan", "null")
+
+
 def read_csv(spark: SparkSession, table: CsvTable, data_dir: str, multi_line: bool = False) -> DataFrame:
-    """One CSV (a file, or a folder of part files) by its declared schema; empty text is null.
+    """One CSV (a file, or a folder of part files) by its declared schema; empty text and the null markers are null.
 
-    `multi_line` reads quoted line breaks, at the price that a file is not split among tasks.
+    `multi_line` reads quoted line breaks, in UTF-8 files with as many tasks as there are byte ranges. A value that doesn't fit its declared type raises.
     """
-    return (spark.read.schema(table.schema).option("header", True).option("encoding", table.encoding)
-            .option("escape", '"').option("mode", "FAILFAST").option("multiLine", multi_line)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-            .csv(f"{data_dir}/{table.filename}"))
+    path = f"{data_dir}/{table.filename}"
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in table.schema.fields])
+    options = {"escape": '"', "mode": "FAILFAST"}
+    if multi_line and table.encoding == "UTF-8":
+        session.ship(spark)
+        parsed = F.from_csv("record", F.lit(as_text.toDDL()), options | {"multiLine": "true"})
+        rows = records.csv_records(spark, path).select(parsed.alias("row")).select("row.*")
+    else:
+        rows = (spark.read.schema(as_text).options(**options).option("header", True).option("encoding", table.encoding)
+                .option("multiLine", multi_line).csv(path))
+    return rows.select([_typed(f) for f in table.schema.fields])
+
+
+def _typed(field: T.StructField) -> Column:
+    value = F.when(~F.col(field.name).isin(*NULL_MARKERS), F.col(field.name))
+    return value.cast(field.dataType).alias(field.name)
 
 
 def load_raw(layers: Layers, data_dir: str, tables=None, clear: bool = False) -> dict[str, int]:

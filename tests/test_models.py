@@ -27,8 +27,9 @@ def table(spark):
 def test_medians_weights_and_folding(spark, table):
     fitted = prep.fit(table)
     assert fitted.medians["price_std"] == 400.0 and fitted.medians["is_multi_category"] == 0.0
-    assert fitted.rare == {c: [] for c in policy.CATEGORICAL}
-    assert prep.rare_categories(table, 30) == {c: ["rare"] for c in policy.CATEGORICAL}
+    assert fitted.folding.mapping().collect() == []
+    rare = prep.category_folding(table, 30).mapping().collect()
+    assert sorted(tuple(r) for r in rare) == sorted((c, "rare", prep.RARE) for c in policy.CATEGORICAL)
     mean, std = fitted.scales["shipping_window_days"]
     r = table.agg(F.avg("shipping_window_days"), F.stddev_pop("shipping_window_days")).first()
     assert (mean, std) == (pytest.approx(r[0]), pytest.approx(r[1]))
@@ -38,7 +39,7 @@ def test_medians_weights_and_folding(spark, table):
 
 
 def test_unseen_categories_encode_as_zeros_and_rare_ones_share_a_column(spark, table):
-    fitted = prep.Fitted(prep.medians(table), {}, prep.rare_categories(table, 30))
+    fitted = prep.Fitted(prep.medians(table), {}, prep.category_folding(table, 30))
     model = prep.preparation(fitted).fit(table)
     cat = policy.CATEGORICAL[0]
     probe = table.limit(1).withColumn(cat, F.explode(F.lit(["a", "b's", "rare", "never seen"])))
@@ -60,6 +61,21 @@ def test_column_without_values_is_left_out(spark, table):
     assert "price_mean" not in prep.medians(table.withColumn("price_mean", F.lit(None).cast("double")))
 
 
+def test_twenty_thousand_categories_are_folded_by_a_join(spark, table, tmp_path):
+    """No list of categories in the plan, and the stored stage folds as the fitted one does."""
+    cat = policy.CATEGORICAL[1]
+    wide = table.select(*[c for c in table.columns if c != cat], F.explode(F.sequence(F.lit(0), F.lit(49))).alias("n"))
+    wide = wide.withColumn(cat, F.when(F.col("n") < 25, F.concat(F.lit("own "), F.col("order_id") * 25 + F.col("n"))).otherwise("common")).drop("n")
+    folding = prep.category_folding(wide)
+    assert folding.mapping().where(F.col("feature") == cat).count() == 20_000
+    folding.write().overwrite().save(str(tmp_path / "stage"))
+    for stage in (folding, prep.CategoryFolding.load(str(tmp_path / "stage"))):
+        out = stage.transform(wide.union(wide.limit(1).withColumn(cat, F.lit("never seen"))))
+        assert "own 7" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {r[0]: r[1] for r in out.groupBy(f"cat_{cat}").count().collect()}
+        assert got == {prep.RARE: 20_000, "common": 20_000, "never seen": 1} and out.columns == [*wide.columns, *[f"cat_{c}" for c in policy.CATEGORICAL]]
+
+
 SMALL = {"logistic_regression": lambda n: training.logistic_regression(n).setMaxIter(30),
          "random_forest": lambda n: training.random_forest(n).setNumTrees(5).setMaxDepth(5),
          "hist_gradient_boosting": lambda n: training.gradient_boosting(n).setMaxIter(5).setMaxBins(32)}
