@@ -6,8 +6,10 @@ sums the gains of its features, a Gumbel number drawn from its id is added, and
 
 N-grams of a batch are interned in an open-addressed table (`Interned`): the keys are their xxhash64, a match is confirmed byte by
 byte, every slot stores its bucket and count. An occurrence keeps its slot id alone, so the crc32 is taken once for each
-distinct n-gram of the batch and gains are gathered by slot. Both passes run where the rows are; only bucket counts (BUCKETS
-for each task) are shuffled, and then the narrow scores of documents long enough to be drawn.
+distinct n-gram of the batch and buckets are gathered by slot. Gains are known only when the buckets of all documents are
+counted; so that no text is interned twice, a document's buckets are written (`packed`, about a byte for each occurrence), counted,
+and read again to gather their gains. Only bucket counts (BUCKETS for each task) are shuffled, and then the narrow scores of
+documents long enough to be drawn.
 
 Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after A-Z are lower-cased; null texts have none. A null id has no Gumbel number:
 score and rank are null, it isn't drawn and doesn't count among those to draw from. Rows that repeat are documents of their own; ties in score go
@@ -34,7 +36,7 @@ from dispatchlens.llm.store import written
 BUCKETS = 10_000
 LONGEST = 3
 #: Words of a batch that are interned at a time (runs that begin among them); bounds a task's memory, changes no result.
-WORDS = 10_000
+WORDS = 3_000
 #: Scores ranked by one task.
 RANKED_ROWS = 200_000
 
@@ -45,43 +47,43 @@ class Interned:
     belongs there only if its 64-bit key, its length and all its bytes are the same, else it goes on to the next slot.
     """
 
-    def __init__(self, data: bytes, begin: np.ndarray, end: np.ndarray, key=xxhash.xxh64_intdigest):
+    def __init__(self, data: bytes, begin: np.ndarray, end: np.ndarray, key=xxhash.xxh64_digest):
         n = len(begin)
         self.size = 1 << max(4, (2 * n - 1).bit_length())
-        mask = np.uint64(self.size - 1)
-        spans = list(map(slice, begin.tolist(), end.tolist()))
-        keys = np.fromiter(map(key, map(data.__getitem__, spans)), np.uint64, n)
+        mask = self.size - 1
+        strings = [data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        keys = np.frombuffer(b"".join(map(key, strings)), ">u8").astype(np.uint64)
         length = end - begin
         self.words = np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))  # the 8 bytes from each place
         owner = np.full(self.size, -1, np.int64)
-        self.slot = np.empty(n, np.int64)
-        place = keys & mask
+        self.slot = (keys & np.uint64(mask)).astype(np.int64)  # where it looks now, and in the end its slot
         left = np.arange(n)
         while len(left):
-            here = place[left].astype(np.int64)
-            free = owner[here] < 0
+            here = self.slot[left]
+            holder = owner[here]
+            free = holder < 0
             owner[here[free]] = left[free]  # one of those that claim a slot gets it
             holder = owner[here]
+            rest = np.flatnonzero(holder != left)  # the others got theirs
+            left, holder = left[rest], holder[rest]
             same = (keys[holder] == keys[left]) & (length[holder] == length[left])
             maybe = np.flatnonzero(same)
             same[maybe] = self._equal(begin[left[maybe]], begin[holder[maybe]], length[left[maybe]])
-            self.slot[left[same]] = here[same]
             left = left[~same]
-            place[left] = (place[left] + np.uint64(1)) & mask
+            self.slot[left] = (self.slot[left] + 1) & mask
         used = np.flatnonzero(owner >= 0)
         self.bucket = np.zeros(self.size, np.int64)
-        self.bucket[used] = np.fromiter(map(zlib.crc32, map(data.__getitem__, map(spans.__getitem__, owner[used].tolist()))), np.int64, len(used)) % BUCKETS
+        self.bucket[used] = np.fromiter(map(zlib.crc32, map(strings.__getitem__, owner[used].tolist())), np.int64, len(used)) % BUCKETS
         self.count = np.bincount(self.slot, minlength=self.size)
 
     def _equal(self, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
-        same = a != b
-        out = ~same  # an occurrence equals itself
-        out[same] = True
-        left, at = np.flatnonzero(same), 0
+        """Whether the bytes from places a and b on are the same, eight at a time."""
+        out = np.ones(len(a), bool)
+        left, at = np.arange(len(a)), 0
         while len(left):
             rest = length[left] - at
             difference = self.words[a[left] + at] ^ self.words[b[left] + at]
-            short = rest < 8
+            short = np.flatnonzero(rest < 8)
             difference[short] &= (np.uint64(1) << (rest[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
             equal = difference == 0
             out[left[~equal]] = False
@@ -90,25 +92,69 @@ class Interned:
         return out
 
 
-def _interned(words: Words) -> Iterator[tuple[Interned, np.ndarray]]:
-    """The table of each stretch of words, with the first word of every occurrence."""
+def _interned(words: Words) -> Iterator[tuple[Interned, np.ndarray, slice]]:
+    """The table of each stretch of words, the word of the stretch where each occurrence begins, and the stretch."""
     for low in range(0, len(words.starts), WORDS):
         begin, end, word = words.runs(low, min(low + WORDS, len(words.starts)), LONGEST)
-        yield Interned(words.bytes, begin, end), word
+        yield Interned(words.bytes, begin, end), word - low, slice(low, min(low + WORDS, len(words.starts)))
+
+
+def packed(owner: np.ndarray, bucket: np.ndarray, n: int) -> list[bytes]:
+    """The sorted buckets of each of n texts as gaps, a byte each; 255 stands for a gap of 255 that goes on in the next byte."""
+    order = np.sort(owner * BUCKETS + bucket)
+    owner, bucket = order // BUCKETS, order % BUCKETS
+    gap = np.diff(bucket, prepend=0)
+    fresh = np.flatnonzero(np.diff(owner, prepend=-1))
+    gap[fresh] = bucket[fresh]
+    size = gap // 255 + 1
+    out = np.full(size.sum(), 255, np.uint8)
+    out[np.cumsum(size) - 1] = gap % 255
+    ends = np.concatenate(([0], np.cumsum(np.bincount(owner, size, n)))).astype(np.int64).tolist()
+    raw = out.tobytes()
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def unpacked(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, bucket) of each occurrence."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    upto = np.cumsum(raw, dtype=np.int64)
+    starts = np.concatenate(([0], upto))[np.cumsum(sizes) - sizes]
+    ends = raw != 255
+    return owner[ends], (upto - starts[owner])[ends]
+
+
+def bucketed_texts(rows: DataFrame) -> DataFrame:
+    """(doc_id, n_words, buckets) of rows (doc_id, text)."""
+    def run(batches):
+        for batch in sliced(batches):
+            words = Words([x.encode() for x in batch.column(1).to_pylist()])
+            n_words = np.diff(words.first)
+            text = np.repeat(np.arange(batch.num_rows), n_words)
+            # an occurrence gets its bucket by slot, and its text by the word where it begins
+            found = [(text[stretch][word], table.bucket[table.slot]) for table, word, stretch in _interned(words)]
+            owner, bucket = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_words": pa.array(n_words, pa.int64()),
+                                              "buckets": pa.array(packed(owner, bucket, batch.num_rows), pa.binary())})
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words long, buckets binary")
 
 
-def bucket_counts(texts: DataFrame, text: str = "text") -> np.ndarray:
-    """Features of all rows by bucket."""
+def _keyed(frame: DataFrame, key: str, text: str) -> DataFrame:
+    return frame.select(frame[key].alias("doc_id"), F.coalesce(frame[text].cast("string"), F.lit("")).alias("text"))
+
+
+def bucket_counts(texts: DataFrame) -> np.ndarray:
+    """Features of all rows of bucketed_texts() by bucket."""
     def counted(batches):
         total = np.zeros(BUCKETS, np.int64)
         for batch in sliced(batches):
-            for table, _ in _interned(Words([x.encode() for x in batch.column(0).to_pylist()])):
-                total += np.bincount(table.bucket, table.count, BUCKETS).astype(np.int64)
+            total += np.bincount(unpacked(batch.column(0).to_pylist())[1], minlength=BUCKETS)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(found, pa.int32()), "n": pa.array(total[found], pa.int64())})
 
-    rows = texts.select(F.coalesce(texts[text].cast("string"), F.lit("")).alias("text"))
-    sums = rows.mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = texts.select("buckets").mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(BUCKETS, np.int64)
     for r in sums.collect():  # BUCKETS rows at most
         out[r["bucket"]] = r["n"]
@@ -129,28 +175,22 @@ def gumbel(doc_id, seed: int) -> int | None:
     return math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
 
 
-def weighted(docs: DataFrame, gain: np.ndarray, seed: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_features, weight, score) of every row."""
+def weighted(texts: DataFrame, gain: np.ndarray, seed: int) -> DataFrame:
+    """(doc_id, n_words, n_features, weight, score) of every row of bucketed_texts()."""
     def measured(batches):
         for batch in sliced(batches):
-            ids = batch.column(0).to_pylist()
-            words = Words([x.encode() for x in batch.column(1).to_pylist()])
-            n_words = np.diff(words.first)
-            sums = np.zeros(len(words.starts) + 1, np.int64)
-            for table, word in _interned(words):
-                # an occurrence gathers its gain by slot; sums are kept by the word where it begins
-                sums += np.bincount(word, gain[table.bucket][table.slot], len(sums)).astype(np.int64)  # exact: far below 2 ** 53
-            upto = np.concatenate(([0], np.cumsum(sums[:-1])))
-            weight = upto[words.first[1:]] - upto[words.first[:-1]]
-            n_features = sum(np.maximum(n_words - n, 0) for n in range(LONGEST))
-            noise = [gumbel(i, seed) for i in ids]
+            n = batch.num_rows
+            owner, bucket = unpacked(batch.column(2).to_pylist())
+            upto = np.concatenate(([0], np.cumsum(gain[bucket])))
+            edges = np.searchsorted(owner, np.arange(n + 1))
+            weight = upto[edges[1:]] - upto[edges[:-1]]
+            noise = [gumbel(i, seed) for i in batch.column(0).to_pylist()]
             score = [None if g is None else int(w) + g for w, g in zip(weight, noise, strict=True)]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_words": pa.array(n_words, pa.int64()), "n_features": pa.array(n_features, pa.int64()),
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_words": batch.column(1), "n_features": pa.array(np.diff(edges), pa.int64()),
                                               "weight": pa.array(weight, pa.int64()), "score": pa.array(score, pa.int64())})
 
-    rows = docs.select(docs[key].alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
-    kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInArrow(measured, f"doc_id {kind}, n_words long, n_features long, weight long, score long")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(measured, f"doc_id {kind}, n_words long, n_features long, weight long, score long")
 
 
 def drawn(scored: DataFrame, least_words: int, percent: int, rows_per_task: int = RANKED_ROWS) -> DataFrame:
@@ -182,7 +222,9 @@ def drawn(scored: DataFrame, least_words: int, percent: int, rows_per_task: int
     return ranked.withColumn("rank", F.when(F.col("rank") <= wanted, F.col("rank"))).unionByName(rest)
 
 
-def resampled(docs: DataFrame, target: DataFrame, least_words: int = 20, percent: int = 5, seed: int = 42) -> DataFrame:
+def resampled(docs: DataFrame, target: DataFrame, least_words: int = 20, percent: int = 5, seed: int = 42,
+              key: str = "doc_id", target_key: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, n_features, weight, score, rank) of every document; rank is null where it isn't drawn."""
-    gain = gains(bucket_counts(docs), bucket_counts(target))
-    return drawn(written(weighted(docs, gain, seed), "weighted"), least_words, percent)
+    texts = written(bucketed_texts(_keyed(docs, key, text)), "buckets")
+    gain = gains(bucket_counts(texts), bucket_counts(bucketed_texts(_keyed(target, target_key, text))))
+    return drawn(written(weighted(texts, gain, seed), "weighted"), least_words, percent)

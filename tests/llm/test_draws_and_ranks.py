@@ -185,7 +185,7 @@ def test_interned_strings_are_verified_byte_by_byte():
     words = Words([t.encode() for t in (prose(400), "x" * 70 + " " + "x" * 69 + "y", "é a", "")])
     begin, end, _ = words.runs(0, len(words.starts), 3)
     spans = [words.bytes[a:b] for a, b in zip(begin, end)]
-    for key in (resampling.xxhash.xxh64_intdigest, lambda s: len(s) % 5, lambda s: 7):
+    for key in (resampling.xxhash.xxh64_digest, lambda s: (len(s) % 5).to_bytes(8), lambda s: bytes(8)):
         table = resampling.Interned(words.bytes, begin, end, key)
         by_slot = defaultdict(set)
         for slot, span in zip(table.slot.tolist(), spans):
@@ -198,10 +198,19 @@ def test_interned_strings_are_verified_byte_by_byte():
 def test_stretches_of_words_lose_no_run(monkeypatch):
     words = Words([(t or "").encode() for t in TEXTS])
     monkeypatch.setattr(resampling, "WORDS", 7)
-    total = sum(int(table.count.sum()) for table, _ in resampling._interned(words))
+    total = sum(int(table.count.sum()) for table, _, _ in resampling._interned(words))
     assert total == sum(len(features_of(t)) for t in TEXTS)
 
 
+def test_packed_buckets_come_back():
+    owner = RNG.integers(0, 30, 4000) * 2  # every other text has none
+    bucket = np.where(RNG.random(4000) < 0.3, RNG.integers(0, 10_000, 4000), RNG.choice([0, 254, 255, 256, 510, 9_999], 4000))
+    texts, found = resampling.unpacked(resampling.packed(owner, bucket, 61))
+    assert sorted(zip(texts.tolist(), found.tolist())) == sorted(zip(owner.tolist(), bucket.tolist()))
+    empty = resampling.packed(owner[:0], bucket[:0], 3)
+    assert empty == [b""] * 3 and [len(x) for x in resampling.unpacked(empty)] == [0, 0]
+
+
 def test_resampling_of_empty_tables(spark):
     docs, items = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert resampling.resampled(docs, items).collect() == []
