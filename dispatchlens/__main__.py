@@ -2,7 +2,7 @@
 
     python -m dispatchlens load-raw --root R --data-dir D [--tables t ...] [--clear]
     python -m dispatchlens features --root R [--csv PATH]
-    python -m dispatchlens train --root R [--split-quantile Q | --split-date T]
+    python -m dispatchlens train --root R [--split-quantile Q | --split-date T] [--candidates c ...]
     python -m dispatchlens score --root R [--limit N]
     python -m dispatchlens monitor --root R [--report PATH]
     python -m dispatchlens deploy-status --runs PATH --outcomes PATH [--history N]
@@ -12,7 +12,7 @@ import argparse
 import json
 
 from dispatchlens import policy, schemas, session
-from dispatchlens.operators import opslog, order_features
+from dispatchlens.operators import opslog, order_features, scoring, training
 from dispatchlens.plans import pipeline
 from dispatchlens.sources import jsonl, tables
 from dispatchlens.sources.layers import Layers
@@ -34,7 +34,8 @@ def parser() -> argparse.ArgumentParser:
     step("load-raw", root, (("--data-dir",), {"required": True}), (("--tables",), {"nargs": "*", "default": None}),
          (("--clear",), {"action": "store_true"}))
     step("features", root, (("--csv",), {"default": None}))
-    step("train", root, quantile, date, approximate)
+    step("train", root, quantile, date, approximate,
+         (("--candidates",), {"nargs": "*", "default": None, "choices": list(training.BUILDERS)}))
     step("score", root, (("--limit",), {"type": int, "default": None}))
     step("monitor", root, quantile, date, approximate, (("--report",), {"default": None}))
     step("deploy-status", (("--runs",), {"required": True}), (("--outcomes",), {"required": True}),
@@ -49,12 +50,14 @@ def run(spark, args) -> None:
     elif args.step == "features":
         order_features.label_balance(pipeline.build_features(layers, args.csv)).show()
     elif args.step == "train":
-        result = pipeline.train(layers, args.split_quantile, args.split_date, approximate=args.approximate)
+        result = pipeline.train(layers, args.split_quantile, args.split_date, tuple(args.candidates or training.CANDIDATES),
+                                approximate=args.approximate)
         result.board.show(truncate=False)
         print(f"winner: {result.winner}")
     elif args.step == "score":
         table = pipeline.score(layers, args.limit)
-        table.groupBy("risk_level").count().show()
+        scores = table.withColumnRenamed("late_delivery_probability", scoring.SCORE)
+        scoring.score_overview(scores).show()
     elif args.step == "monitor":
         decided = pipeline.monitor(layers, args.report, args.split_quantile, args.split_date, args.approximate)
         print(str(pipeline.retrain_recommended(decided)).lower())
@@ -67,7 +70,11 @@ def run(spark, args) -> None:
 
 def main(argv=None) -> None:
     args = parser().parse_args(argv)
-    run(session.session("dispatchlens"), args)
+    spark = session.session("dispatchlens")
+    try:
+        run(spark, args)
+    finally:
+        session.clear(spark)
 
 
 if __name__ == "__main__":

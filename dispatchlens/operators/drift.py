@@ -98,16 +98,20 @@ def label_drift(windowed: DataFrame) -> DataFrame:
         "label_drift", F.abs(F.col("current_late_rate") - F.col("reference_late_rate")))
 
 
-def monitor_row(windowed: DataFrame, approximate: bool = False) -> DataFrame:
-    """One row: stability per metric, the worst feature, recent AUC and label drift."""
-    index = psi(windowed, approximate=approximate)
+def widened(index: DataFrame) -> DataFrame:
+    """Stability per metric as one row: score_psi, max_feature_psi, psi_<feature>, psi_undefined."""
     feature = F.col("metric") != SCORE_METRIC
     defined = F.when(~F.col("psi_undefined"), F.col("psi"))
-    wide = index.agg(
+    return index.agg(
         F.max(F.when(~feature, F.col("psi"))).alias("score_psi"),
         F.max(F.when(feature, defined)).alias("max_feature_psi"),
         *[F.max(F.when(F.col("metric") == f, F.col("psi"))).alias(f"psi_{f}") for f in policy.DRIFT_FEATURES],
         F.bool_or("psi_undefined").alias("psi_undefined"))
+
+
+def monitor_row(windowed: DataFrame, approximate: bool = False) -> DataFrame:
+    """One row: stability per metric, the worst feature, recent AUC and label drift."""
+    wide = widened(psi(windowed, approximate=approximate))
     auc = evaluate(windowed.where("window = 'current'")).select(F.col("roc_auc").alias("current_auc"))
     rates = label_drift(windowed)
     return (wide.withColumns({"current_auc": auc.scalar(), "rates": rates.select(F.struct(*rates.columns)).scalar()})
@@ -140,6 +144,11 @@ def tall_metrics(decided: DataFrame) -> DataFrame:
     return decided.select(F.inline(F.array(*cells))).withColumn("computed_at", F.current_timestamp())
 
 
+#: The report document as it is read back.
+REPORT = ("generated_at STRING, model_version STRING, split_ts STRING, thresholds STRUCT<psi: DOUBLE, min_auc: DOUBLE>, metrics MAP<STRING, DOUBLE>, "
+          "decision STRUCT<drift_detected: BOOLEAN, performance_low: BOOLEAN, retrain_recommended: BOOLEAN, reasons: ARRAY<STRING>>")
+
+
 def report(decided: DataFrame, version: str, split_ts, psi_limit: float = policy.PSI_LIMIT,
            min_auc: float = policy.MIN_AUC) -> DataFrame:
     """One nested row: what was measured, the limits in force, and the verdict with its reasons."""

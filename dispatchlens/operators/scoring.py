@@ -83,3 +83,10 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
         F.count("*").alias("orders"), F.avg(SCORE).alias("mean_score"))
     return levels.join(counts, "risk_level", "left").select(
         "risk_level", F.coalesce("orders", F.lit(0)).alias("orders"), "mean_score")
+
+
+def score_overview(scored: DataFrame) -> DataFrame:
+    """One row: orders scored, their mean score (null without any), and how many are in each band."""
+    level = risk_level(F.col(SCORE))
+    return scored.agg(F.count("*").alias("orders"), F.avg(SCORE).alias("mean_score"),
+                      *[F.count_if(level == name).alias(name) for name in policy.RISK_LEVELS])

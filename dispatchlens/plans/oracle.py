@@ -561,3 +561,26 @@ ORACLE["contract_columns"] = q(FEATURES, " UNION ALL ".join(
 ORACLE |= {"logged_request_totals": ORACLE["request_totals"], "logged_error_totals": ORACLE["error_totals"], "logged_summary": ORACLE["service_summary"],
            "logged_latency_quantiles": ORACLE["latency_quantiles"], "logged_risk_rates": ORACLE["risk_rates"],
            "stream_error_rates": ORACLE["error_rates"], "stream_risk_rates": ORACLE["risk_rates"]}
+
+_REASONS = """coalesce(nullif(concat_ws(',', CASE WHEN score_psi > 0.2 THEN 'score_psi>threshold' END,
+         CASE WHEN max_feature_psi > 0.2 THEN 'feature_psi>threshold' END,
+         CASE WHEN performance_low THEN 'auc<min' END), ''), 'within_thresholds')"""
+ORACLE |= {
+    "incremental_features": ORACLE["order_features"],
+    "score_overview": q(SCORED, f"""
+SELECT count(*) AS orders, round(avg(p), 6) AS mean_score, count(*) FILTER (l = 'low') AS low, count(*) FILTER (l = 'medium') AS medium,
+       count(*) FILTER (l = 'high') AS high FROM (SELECT p, {LEVEL.format(p='p')} AS l FROM scored)"""),
+    "written_report": q(LONG + ",\nmeasured AS (" + ORACLE["monitoring_metrics"].removeprefix("WITH " + LONG.strip()) + ")", f"""
+SELECT 'reference-baseline' AS model_version, 0.2::DOUBLE AS psi_limit, drift_detected, performance_low,
+       drift_detected OR performance_low AS retrain_recommended, {_REASONS} AS reasons, metric, value FROM verdict, measured"""),
+    "sketch_ranks": "SELECT unnest(['score', " + ", ".join(f"'{d}'" for d in DRIFT) + "]) AS metric, p AS position, true AS within "
+                    "FROM (SELECT unnest(range(0, 11))::INTEGER AS p)",
+    "model_board_checks": q(WINDOWED, """
+SELECT unnest(['logistic_regression', 'histogram_boosting', 'balanced_forest']) AS candidate, count(*) AS "rows",
+       round(avg(is_late_delivery), 6) AS val_positive_rate, true AS in_range, true AS winner_is_best FROM windowed WHERE win = 'current'"""),
+    "model_prediction_checks": q(FEATURES, """
+SELECT order_id, unnest(['logistic_regression', 'histogram_boosting', 'balanced_forest']) AS model_version, 'model' AS scored_by,
+       true AS in_range, true AS band_agrees, true AS action_agrees FROM features"""),
+    "sketched_decision": q(LONG, f"""
+SELECT drift_detected, performance_low, drift_detected OR performance_low AS retrain_recommended, {_REASONS} AS reasons FROM verdict"""),
+}

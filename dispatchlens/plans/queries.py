@@ -5,9 +5,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from dispatchlens import policy, schemas, session
 from dispatchlens.functions import expressions as X
 from dispatchlens.operators import (contract, drift, evaluation, importance, opslog, order_features as features_op,
-                                    prep, scoring, service, split, training)
+                                    prep, scoring, service, sketches, split, training)
+from dispatchlens.plans import incremental
 from dispatchlens.sources import adapter, files, jsonl, tables
-from dispatchlens.sources.layers import Layers, write_csv
+from dispatchlens.sources.layers import Layers, write_csv, write_report
 from dispatchlens.streaming import opslog as stream_log, service as streams
 from dispatchlens.streaming.arrivals import FATES, Arrivals
 from dispatchlens.streaming.models import ModelPointer, ScoredTable
@@ -203,6 +204,22 @@ def order_features(spark, sf_dir):
     return features_op.order_features(**adapter.feature_inputs(spark, sf_dir))
 
 
+@query
+def incremental_features(spark, sf_dir):
+    """The feature table after a build on older orders and one on the present ones that touches the changed months only."""
+    layers, raw = _layers(spark, sf_dir), adapter.feature_inputs(spark, sf_dir)
+    at = F.col("order_purchase_timestamp")
+    # Before: one month had other delivery dates, one later month didn't exist yet.
+    moved = F.when(F.date_format(at, "yyyy-MM") == "1996-03", F.col("order_delivered_customer_date") + F.expr("INTERVAL 3 DAYS")).otherwise(
+        F.col("order_delivered_customer_date"))
+    before = raw["orders"].where(F.date_format(at, "yyyy-MM") != "1997-05").withColumn("order_delivered_customer_date", moved)
+    incremental.build(layers, **raw | {"orders": before})
+    built = incremental.build(layers, **raw)
+    if not set(built) <= {"1996-03", "1997-05"}:
+        raise AssertionError(f"months built without a change: {built}")
+    return incremental.read(layers)
+
+
 @query
 def delivered_orders(spark, sf_dir):
     return features_op.delivered_orders(adapter.orders(spark, sf_dir))
@@ -353,6 +370,11 @@ def risk_distribution(spark, sf_dir):
     return scoring.risk_distribution(scored(spark, sf_dir))
 
 
+@query
+def score_overview(spark, sf_dir):
+    return scoring.score_overview(scored(spark, sf_dir))
+
+
 # Evaluation and drift ------------------------------------------------------------------------
 
 @query
@@ -433,6 +455,41 @@ def monitor_report(spark, sf_dir):
                            F.array_join("decision.reasons", ",").alias("reasons"))
 
 
+@query
+def written_report(spark, sf_dir):
+    """The report's JSON document, written and read back: one row per metric with the verdict."""
+    def write(path):
+        at = cut(spark, sf_dir)
+        row = drift.decide(drift.monitor_row(split.with_window(scored(spark, sf_dir), at)))
+        write_report(drift.report(row, policy.BASELINE_VERSION, at), path)
+
+    path = session.written_path(spark, ("report", sf_dir), write)
+    document = spark.read.schema(drift.REPORT).json(path)
+    return document.select("model_version", F.col("thresholds.psi").alias("psi_limit"), "decision.drift_detected", "decision.performance_low",
+                           "decision.retrain_recommended", F.array_join("decision.reasons", ",").alias("reasons"),
+                           F.explode("metrics").alias("metric", "value"))
+
+
+def _reference_sketches(spark, sf_dir) -> DataFrame:
+    """Sketches of the reference window by month, stored, and merged on reading."""
+    past = windowed(spark, sf_dir).where("window = 'reference'").withColumn("month", F.date_format(policy.PURCHASE_TS, "yyyy-MM"))
+    return sketches.merged(session.written(spark, ("sketches", sf_dir), lambda: sketches.sketched(past, by=["month"])))
+
+
+@query
+def sketch_ranks(spark, sf_dir):
+    """Whether the stored sketches' quantiles have their ranks in the reference window, within the stated error."""
+    return sketches.rank_check(windowed(spark, sf_dir).where("window = 'reference'"), _reference_sketches(spark, sf_dir))
+
+
+@query
+def sketched_decision(spark, sf_dir):
+    """The retrain verdict from the stored sketches and the current window alone."""
+    current = windowed(spark, sf_dir).where("window = 'current'")
+    decided = drift.decide(sketches.monitor_row(current, _reference_sketches(spark, sf_dir)))
+    return decided.select("drift_detected", "performance_low", "retrain_recommended", F.array_join("reasons", ",").alias("reasons"))
+
+
 @query
 def feature_importance(spark, sf_dir):
     """AUC drop per shuffled feature of the baseline score on the newest orders."""
@@ -683,11 +740,16 @@ def stream_scoring(spark, sf_dir):
 
 # Models --------------------------------------------------------------------------------------
 
+#: Fewer rounds and trees than in production, so that the queries end in seconds; a tree takes several Spark jobs.
+QUICK_TREES = {"histogram_boosting": lambda rows: training.histogram_boosting(rows).setMaxIter(6).setStepSize(0.3),
+               "balanced_forest": lambda rows: training.balanced_forest(rows).setNumTrees(20).setMaxLeaves(64)}
+
+
 def _fitted(spark, sf_dir, name: str):
     """A candidate fitted on the past, stored, and loaded again."""
     def fit(path):
         train, _ = split.temporal_split(features(spark, sf_dir), cut(spark, sf_dir))
-        training.fit_candidates(train, [name])[name].write().overwrite().save(path)
+        training.fit_candidates(train, [name], QUICK_TREES)[name].write().overwrite().save(path)
 
     return scoring.load_model(session.written_path(spark, (name, sf_dir), fit))
 
@@ -751,3 +813,39 @@ def gradient_boosting(spark, sf_dir):
 def model_leaderboard(spark, sf_dir):
     """All three classifiers, fitted on the past, compared on the newest orders."""
     return _board(spark, sf_dir, training.CANDIDATES)
+
+
+@query
+def histogram_boosting(spark, sf_dir):
+    return _board(spark, sf_dir, ["histogram_boosting"])
+
+
+@query
+def balanced_forest(spark, sf_dir):
+    return _board(spark, sf_dir, ["balanced_forest"])
+
+
+@query
+def model_board_checks(spark, sf_dir):
+    """What must hold for any fitted candidate on the newest orders: rows, late rate, metrics in their range, one winner."""
+    board = _board(spark, sf_dir, ["logistic_regression", "histogram_boosting", "balanced_forest"])
+    inside = F.lit(True)
+    for c in ("pr_auc", "roc_auc", "brier", "f1_at_0_5"):
+        inside = inside & F.col(c).between(0, 1)
+    best = board.agg(F.max("pr_auc")).scalar()
+    return board.select("candidate", "rows", "val_positive_rate", inside.alias("in_range"), ((F.col("pr_auc") == best) | ~F.col("winner")).alias("winner_is_best"))
+
+
+@query
+def model_prediction_checks(spark, sf_dir):
+    """One sound score per order from each stored model: within [0, 1], its band and action agreeing with it."""
+    parts = None
+    for name in ("logistic_regression", "histogram_boosting", "balanced_forest"):
+        rows = scoring.score(features(spark, sf_dir), _fitted(spark, sf_dir, name))
+        p = F.col(scoring.SCORE)
+        part = scoring.predictions(rows.select(policy.ORDER_ID, scoring.SCORE), name).join(rows.select(policy.ORDER_ID, scoring.SCORE, "scored_by"), policy.ORDER_ID)
+        part = part.select(policy.ORDER_ID, "model_version", "scored_by", p.between(0, 1).alias("in_range"),
+                           (F.col("risk_level") == scoring.risk_level(p)).alias("band_agrees"),
+                           (F.col("recommended_action") == scoring.recommended_action(scoring.risk_level(p))).alias("action_agrees"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts

@@ -74,6 +74,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return run_path(spark, f"{name}-{os.urandom(6).hex()}")
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application wrote below the shared folder; results that read it must be done with."""
+    folder = run_path(spark)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    for key in [k for k in _written if k[0] == spark.sparkContext.applicationId]:
+        del _written[key]
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once per application: Python tasks import them."""
     application = spark.sparkContext.applicationId
