@@ -8,7 +8,7 @@ whole score column, and no list of buckets is bounded or held by the driver.
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from dispatchlens import policy, session
 from dispatchlens.operators.scoring import SCORE
@@ -24,12 +24,13 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _same(left: DataFrame, right: DataFrame, columns) -> Column:
-    """Equal in all columns, nulls among them."""
-    out = F.lit(True)
+def _matched(left: DataFrame, right: DataFrame, columns) -> DataFrame:
+    """Inner join of equal columns, nulls among them; left's columns, then what right has besides."""
+    renamed = right.withColumnsRenamed({c: f"_of_{c}" for c in columns})
+    on = F.lit(True)
     for c in columns:
-        out = out & left[c].eqNullSafe(right[c])
-    return out
+        on = on & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return left.join(renamed, on).drop(*[f"_of_{c}" for c in columns])
 
 
 def _starts(placed: DataFrame, by: list[str], buckets: int) -> DataFrame:
@@ -46,8 +47,8 @@ def _starts(placed: DataFrame, by: list[str], buckets: int) -> DataFrame:
     blocks = blocks.select(*by, "block", before("p", upto).alias("block_p"), before("n", upto).alias("block_n"))
     inside = W.partitionBy(*by, "block").orderBy("bucket")
     totals = totals.select(*by, "block", "bucket", before("p", inside).alias("own_p"), before("n", inside).alias("own_n"))
-    return totals.join(blocks, _same(totals, blocks, [*by, "block"])).select(
-        *[totals[c] for c in (*by, "bucket")], (F.col("block_p") + F.col("own_p")).alias("positives_above"),
+    return _matched(totals, blocks, [*by, "block"]).select(
+        *by, "bucket", (F.col("block_p") + F.col("own_p")).alias("positives_above"),
         (F.col("block_n") + F.col("own_n")).alias("negatives_above"))
 
 
@@ -68,8 +69,7 @@ def score_steps(scored: DataFrame, score: str = SCORE, label: str = policy.LABEL
     placed = _stored(counts.repartitionByRange(buckets, F.desc(score)).withColumn("bucket", F.spark_partition_id()), "buckets")
     starts = _starts(placed, by, buckets)
     inside = W.partitionBy(*by, "bucket").orderBy(F.desc(score)).rowsBetween(W.unboundedPreceding, 0)
-    return placed.join(starts, _same(placed, starts, [*by, "bucket"])).select(
-        *[placed[c] for c in placed.columns], "positives_above", "negatives_above").withColumns({
+    return _matched(placed, starts, [*by, "bucket"]).withColumns({
             "true_positives": F.col("positives_above") + F.sum("positives").over(inside),
             "false_positives": F.col("negatives_above") + F.sum("negatives").over(inside)})
 
