@@ -21,7 +21,6 @@ class _Gap:
     inside: int
     low: float | None = None
     high: float | None = None
-    final: bool = False
 
     def rows(self) -> Column:
         v = F.col(self.column)
@@ -94,7 +93,8 @@ def _refine(df: DataFrame, gaps: list[_Gap], accuracy: int) -> tuple[dict, list[
                 high = at[cell // 2] if cell // 2 < len(at) else g.high
                 low = -math.inf if low is None else low
                 high = math.inf if high is None else high
-                smaller.append(_Gap(g.column, ranks, start, n, low, high, n == g.inside))
+                # points are values of the gap, so that each of its smaller gaps lacks a row at least
+                smaller.append(_Gap(g.column, ranks, start, n, low, high))
             start += n
     return values, smaller
 
@@ -137,10 +137,10 @@ def order_statistics(df: DataFrame, ranks: dict[str, list[int]], sizes: dict[str
     """{(column, rank): value}, rank 0 being the smallest value."""
     values: dict[tuple[str, int], float] = {}
     gaps = [_Gap(c, sorted(set(wanted)), 0, sizes[c]) for c, wanted in ranks.items()]
-    while large := [g for g in gaps if g.inside > max_rows and not g.final]:
+    while large := [g for g in gaps if g.inside > max_rows]:
         found, smaller = _refine(df, large, accuracy)
         values |= found
-        gaps = [g for g in gaps if g.inside <= max_rows or g.final] + smaller
+        gaps = [g for g in gaps if g.inside <= max_rows] + smaller
     return values | (_ranked(df, gaps) if gaps else {})
 
 

@@ -6,10 +6,12 @@ from dispatchlens import policy
 from dispatchlens.functions import expressions as X
 from dispatchlens.sources.jsonl import SEQUENCE
 
-# Step names and the record keys behind them.
-GATE_STEPS = {"New commit": "fetch", "Fast-forward": "ff", "Test gate": "tests"}
+# Step names, the record keys behind them, and what a step shows for a run's status or an action's result.
+GATES = {"New commit": {}, "Fast-forward": {"ff_failed": "failed"}, "Test gate": {"ff_failed": "skipped", "tests_failed": "failed"}}
 ACTION_STEPS = {"Restart API": "restart", "Trigger Airflow": "trigger", "Import Grafana": "import"}
+RESULTS = {"no": "skipped", "ok": "ok", "queued": "queued"}
 RETRAIN_NODES = {"success": "ok", "failed": "failed", "timeout": "warn", "running": "running"}
+STOPPED = ("ff_failed", "tests_failed")
 
 
 def _given(column: str) -> Column:
@@ -68,33 +70,27 @@ def _node(name: str, state: Column, detail: Column) -> Column:
     return F.struct(F.lit(name).alias("name"), state.alias("state"), detail.alias("detail"))
 
 
-def _gate_state(key: str, status: Column) -> Column:
-    if key == "ff":
-        return F.when(status == "ff_failed", "failed").otherwise("ok")
-    if key == "tests":
-        return F.when(status == "ff_failed", "skipped").when(status == "tests_failed", "failed").otherwise("ok")
-    return F.lit("ok")
-
-
-def _action_state(value: Column, gate_passed: Column) -> Column:
-    v = F.lower(F.when(value != "", value).otherwise("no"))
-    return (F.when(~gate_passed | (v == "no"), "skipped").when(v.contains("fail"), "failed")
-            .when(v == "ok", "ok").when(v == "queued", "queued").otherwise("warn"))
+def _looked_up(table: dict[str, str], key: Column, default: str) -> Column:
+    pairs = [F.lit(x) for pair in table.items() for x in pair]
+    return F.coalesce(F.create_map(*pairs)[key], F.lit(default)) if pairs else F.lit(default)
 
 
 def step_states(reconciled: DataFrame) -> DataFrame:
-    """Runs (with retrain_state) plus the state of every gate, action and retrain step."""
+    """Runs (with retrain_state) plus the state of every gate, action and retrain step.
+
+    Gates and actions read their tables above; an action behind a closed gate is skipped, one whose result tells of a failure has failed.
+    """
     status = F.coalesce("status", F.lit(""))
-    passed = ~status.isin("ff_failed", "tests_failed")
     retrain = F.col("retrain_state")
-    nodes = F.create_map(*[F.lit(x) for pair in RETRAIN_NODES.items() for x in pair])
-    actions = [_node(name, _action_state(F.col("actions")[key], passed),
-                     F.coalesce(F.col("actions")[key], F.lit("no"))) for name, key in ACTION_STEPS.items()]
+    actions = []
+    for name, key in ACTION_STEPS.items():
+        result = F.lower(F.coalesce(F.nullif(F.col("actions")[key], F.lit("")), F.lit("no")))
+        shown = F.when(result.contains("fail"), "failed").otherwise(_looked_up(RESULTS, result, "warn"))
+        actions.append(_node(name, F.when(status.isin(*STOPPED), "skipped").otherwise(shown), F.coalesce(F.col("actions")[key], F.lit("no"))))
     return reconciled.withColumns({
-        "gate": F.array(*[_node(name, _gate_state(key, status), F.lit("")) for name, key in GATE_STEPS.items()]),
+        "gate": F.array(*[_node(name, _looked_up(table, status, "ok"), F.lit("")) for name, table in GATES.items()]),
         "action_steps": F.array(*actions),
-        "retrain": _node("Retrain", F.coalesce(nodes[retrain], F.lit("skipped")),
-                         F.coalesce(retrain, F.lit("not run")))})
+        "retrain": _node("Retrain", _looked_up(RETRAIN_NODES, retrain, "skipped"), F.coalesce(retrain, F.lit("not run")))})
 
 
 def deploy_gauges(runs: DataFrame, outcomes: DataFrame, now: Column | None = None,

@@ -7,6 +7,7 @@ raw_orders AS (
                CASE WHEN o_orderstatus = 'P' THEN 'shipped' ELSE 'delivered' END AS order_status,
                o_orderdate + to_hours(o_orderkey % 24) + to_seconds(o_orderkey % 3600) AS bought,
                o_orderdate + to_days(CAST(8 + o_orderkey % 33 AS INTEGER)) AS promised,
+               o_orderdate + to_days(CAST(2 + o_orderkey % 5 AS INTEGER)) AS collected,
                CASE WHEN o_orderstatus <> 'P'
                     THEN o_orderdate + to_days(CAST(3 + (o_orderkey * 7) % 40 AS INTEGER)) END AS arrived
         FROM orders)),
@@ -330,7 +331,7 @@ UNION ALL SELECT 'product_category_name_translation', count(DISTINCT p_type) FRO
     "csv_orders": q(RAW, f"""
 SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_status,
        {STAMP.format(c='bought')} AS order_purchase_timestamp, {STAMP.format(c='approved')} AS order_approved_at,
-       {STAMP.format(c='arrived')} AS order_delivered_customer_date,
+       {STAMP.format(c='collected')} AS order_delivered_carrier_date, {STAMP.format(c='arrived')} AS order_delivered_customer_date,
        {STAMP.format(c='promised')} AS order_estimated_delivery_date FROM raw_orders"""),
     "csv_reviews": q(RAW, f"""
 SELECT 'r' || k AS review_id, CAST(k AS VARCHAR) AS order_id, CAST(1 + k % 5 AS INTEGER) AS review_score,

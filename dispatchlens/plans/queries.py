@@ -152,8 +152,7 @@ def raw_load(spark, sf_dir):
 
 @query
 def csv_orders(spark, sf_dir):
-    return tables.read_csv(spark, tables.REGISTRY["orders"], _csv_dir(spark, sf_dir)).drop(
-        "order_delivered_carrier_date")
+    return tables.read_csv(spark, tables.REGISTRY["orders"], _csv_dir(spark, sf_dir))
 
 
 @query

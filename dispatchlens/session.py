@@ -50,9 +50,23 @@ def run_path(spark: SparkSession, *names: str) -> str:
     return "/".join([shared_dir(spark), "dispatchlens-" + spark.sparkContext.applicationId, *names])
 
 
+def _stamp(spark: SparkSession, folder: str) -> str:
+    """What tells the input tables of a folder from those that stood there before: names, sizes and times, two levels deep."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return ""
+    own = [s for s in files.listStatus(path)]
+    below = [t for s in own if s.isDirectory() for t in files.listStatus(s.getPath())]
+    return str(hash(tuple(sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in own + below))))
+
+
 def written_path(spark: SparkSession, key: tuple[str, ...], write) -> str:
-    """Path of something write(path) stores, written once per application."""
-    full_key = (spark.sparkContext.applicationId, *key)
+    """Path of something write(path) stores, written once per application and state of the input folder, key's second part.
+
+    With write None the path was written before.
+    """
+    full_key = (spark.sparkContext.applicationId, *key, *(_stamp(spark, k) for k in key[1:2]))
     if full_key not in _written:
         path = run_path(spark, f"{key[0]}-{len(_written):04d}-{os.urandom(4).hex()}")
         write(path)
