@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispatchlens.llm.chunks import ChunkEncoder
+from dispatchlens.llm.chunks import CACHE_CHARS, ChunkEncoder
 
 MARK = "▁"
 #: Answers of the acceptor that a worker keeps before it starts anew.
 ACCEPTED_PAIRS = 400_000
+#: Parts of words kept with their ids likewise.
+KNOWN_PARTS = 600_000
 NOTHING = float("inf")
 
 
@@ -54,6 +56,7 @@ class Transducer:
             if len(p) > 1:
                 lengths.setdefault(p[-2:], set()).add(len(p))
         self.lengths = {c: sorted(n, reverse=True) for c, n in lengths.items()}
+        self.joined = {pair for p in self.arcs for pair in zip(p, p[1:], strict=False)}
         self.parts: dict[str, tuple[str, str] | None] = {}
         self.accepted: dict[tuple[str, str], bool] = {}
 
@@ -138,6 +141,11 @@ class Transducer:
             out.extend(reversed(ids))
         return out[::-1]
 
+    def parts_of(self, text: str) -> list[str]:
+        """The text cut wherever no piece joins two neighbouring characters; its path is that of the parts, joined."""
+        cuts = [k for k, pair in enumerate(zip(text, text[1:], strict=False), 1) if pair not in self.joined]
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)] if cuts else [text]
+
     def decode(self, ids) -> str:
         plain = self.plain
         return b"".join([plain[i] for i in ids])[1:].decode("utf-8", "replace")
@@ -151,10 +159,21 @@ def transducer(path: str) -> Transducer:
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> ChunkEncoder:
     model = transducer(path)
+    known: dict[str, bytes] = {}
 
     def encode(chunks):
+        if len(known) > KNOWN_PARTS:
+            known.clear()
         for c in chunks:
-            yield array("I", model.path(c.replace(" ", MARK))).tobytes()
+            found = []
+            for part in model.parts_of(c.replace(" ", MARK)):
+                ids = known.get(part)
+                if ids is None:
+                    ids = array("I", model.path(part)).tobytes()
+                    if len(part) <= CACHE_CHARS:
+                        known[part] = ids
+                found.append(ids)
+            yield b"".join(found)
 
     encoder = ChunkEncoder(encode)
     learn = encoder._learn
