@@ -1,13 +1,17 @@
 """Exact self-join of documents on the Jaccard similarity of their five-word shingles, by prefixes under several token orders.
 
-A document is the set of 64-bit hashes of its shingles; documents of the same set are one node. If two sets are similar
+A document is the set of 48-bit hashes of its shingles; documents of the same set are one node. If two sets are similar
 enough, their prefixes under any one order of all tokens share a token. The first order puts frequent tokens last, after counts
-of all tokens in COUNT_BUCKETS buckets, and its prefixes are joined through an inverted list. The second and third orders
-are by other hashes; their longer prefixes must share several tokens. Only pairs that pass all orders and the lengths are verified.
+of all tokens in COUNT_BUCKETS buckets, and its prefixes are joined through inverted lists; similar sets share many tokens of
+these prefixes, and pairs that share fewer are never compared. The second and third orders are by other hashes; their longer
+prefixes must share several tokens. Whole sets are compared only for pairs that pass all orders.
 
-Of the pairs of a list first those with its pivot are verified. What they link is merged to components, and then the remaining
-pairs of different components are verified: a group of copies costs about its size, and no link between components is lost.
-Null or empty texts are empty sets without links; fewer than five words are one shingle. Rows that repeat stay.
+A list of MANY members or more isn't paired with itself at once: first its members meet its pivot, the least by size, and what is
+linked is merged to components. Then all pairs of different components in any list are formed, so that no link between
+components is lost; members that one pivot links have become one component by then and cost about their number.
+
+To compare sets, each is sent once to every pivot it meets: a pivot's partners are sorted behind it, PARTNERS to a task at most,
+and pass by it as a stream. Null or empty texts are empty sets without links; fewer than five words are one shingle. Rows that repeat stay.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +35,12 @@ COUNT_BUCKETS = 1 << 18
 HOT = 4096
 #: Buckets of the filter that lets through the rows of candidates before they are shuffled.
 FILTER_BUCKETS = 1 << 20
+#: Members of a list that meet its pivot before it is paired; it changes the cost alone.
+MANY = 64
+#: Sets that a task compares with one pivot; a pivot with more partners stands in several tasks.
+PARTNERS = 512
+TOKEN_BYTES = 6
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -51,10 +62,20 @@ def shingles(text: bytes | None) -> np.ndarray:
     out = np.full(n, np.uint64(min(len(h), WORDS)))
     for k in range(min(WORDS, len(h))):
         out = out * np.uint64(0x9FB21C651E98DF25) + h[k:k + n]
-    out = np.sort(mixed(out, SEEDS[0]))
+    out = np.sort(mixed(out, SEEDS[0]) >> np.uint64(64 - 8 * TOKEN_BYTES))
     return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // TOKEN_BYTES, 8), np.uint8)
+    out[:, :TOKEN_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, TOKEN_BYTES)
+    return out.reshape(-1).view("<u8")
+
+
 def _node(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
@@ -71,8 +92,7 @@ def _may_share(n, m, common):
     whole; it may be either of the two.
     """
     needed = F.ceil(F.lit(PERCENT) * (n + m) / (100 + PERCENT))
-    prefix = lambda x: x - F.ceil(F.lit(PERCENT) * x / 100) + 1
-    return (prefix(n) - common <= n - needed) | (prefix(m) - common <= m - needed)
+    return (_prefix(n) - common <= n - needed) | (_prefix(m) - common <= m - needed)
 
 
 def _extra(n: int) -> int:
@@ -112,10 +132,11 @@ def _first(rows: DataFrame, kind: str) -> DataFrame:
         at_least_one = None
         for batch in batches:
             at_least_one = batch
-            tokens = [shingles(t) for t in batch.column(1).to_pylist()]
-            if tokens:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                tokens = [shingles(t) for t in part.column(1).to_pylist()]
                 counts += np.bincount(np.concatenate(tokens) & np.uint64(COUNT_BUCKETS - 1), minlength=COUNT_BUCKETS)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "id": pa.array([_node(t) for t in tokens], pa.int64()), "n": pa.array([len(t) for t in tokens], pa.int64()), "bucket": pa.nulls(len(tokens), pa.int32())})
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "id": pa.array([_node(t) for t in tokens], pa.int64()), "n": pa.array([len(t) for t in tokens], pa.int64()), "bucket": pa.nulls(len(tokens), pa.int32())})
         if at_least_one is not None:
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(len(used), at_least_one.schema.field(0).type), "id": pa.nulls(len(used), pa.int64()), "n": pa.array(counts[used], pa.int64()), "bucket": pa.array(used, pa.int32())})
@@ -135,7 +156,11 @@ def _tiers(first: DataFrame) -> tuple[np.ndarray, int]:
 
 def _prefix(n):
     """Tokens of a set of n that the first order's lists hold; a number or a column."""
-    return n - least_overlap(n) + 1
+    return n - (least_overlap(n) if isinstance(n, int) else F.ceil(F.lit(PERCENT) * n / 100)) + 1
+
+
+def _near(n, m):
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)).cast("boolean")
 
 
 def _postings(rows: DataFrame, tiers: np.ndarray, hot: int, wanted: bool) -> DataFrame:
@@ -156,111 +181,118 @@ def _postings(rows: DataFrame, tiers: np.ndarray, hot: int, wanted: bool) -> Dat
 
 
 def _lists(rows: DataFrame, tiers: np.ndarray, hot: int) -> DataFrame:
-    """(token, id, n, pivot, pivot_n) of tokens with two nodes or more; the pivot is the list's least (n, id).
+    """(token, id, n, members, pivot, pivot_n) of tokens with two nodes or more; the pivot is the list's least (n, id).
 
     Lists of tokens that aren't hot are bounded by their bucket's count, and a window reads them, after one exchange that also
     serves to drop repeats. Those of hot tokens, from a reading of their own, are counted and joined.
     """
-    least = F.min(F.struct("n", "id"))
+    facts = {"members": F.count("*").cast("int"), "pivot": F.min(F.struct("n", "id"))}
     whole = Window.partitionBy("token")
     cool = _postings(rows, tiers, hot, False).repartition("token").dropDuplicates(["token", "id", "n"])
-    cool = cool.select("token", "id", "n", F.count("*").over(whole).alias("members"), least.over(whole).alias("pivot"))
+    cool = cool.select("token", "id", "n", F.count("*").over(whole).cast("int").alias("members"), facts["pivot"].over(whole).alias("pivot"))
     warm = written(_postings(rows, tiers, hot, True).distinct(), "hot")
-    heads = warm.groupBy(F.col("token").alias("_token")).agg(F.count("*").alias("members"), least.alias("pivot"))
-    warm = warm.join(heads, F.col("token") == F.col("_token")).select("token", "id", "n", "members", "pivot")
-    return cool.unionByName(warm).where("members > 1").select("token", "id", "n", F.col("pivot.id").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
-
-
-def _near(n, m):
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)).cast("boolean")
+    heads = warm.groupBy(F.col("token").alias("_token")).agg(*(c.alias(k) for k, c in facts.items()))
+    warm = warm.join(heads, F.col("token") == F.col("_token")).select("token", "id", "n", *facts)
+    kept = cool.unionByName(warm).where("members > 1")
+    return kept.select("token", "id", "n", "members", F.col("pivot.id").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
 
 
 class Join:
     """The join over one table of documents: its written tables and what they give."""
 
     def __init__(self, docs: DataFrame):
+        spark = docs.sparkSession
+        if spark.conf.get(BATCH_BYTES, None) in (None, "-1"):
+            spark.conf.set(BATCH_BYTES, str(16 << 20))  # sets of long texts would make batches of any size
         self.rows = _texts(docs)
         self.kind = self.rows.schema["doc_id"].dataType.simpleString()
         self.first = written(_first(self.rows, self.kind), "nodes")
         self.members = self.first.where("bucket is null").select("doc_id", "id", "n")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar; first by the other orders, then by whole sets."""
-        pairs = written(pairs, "pairs")
-        need = pairs.select(F.col("a").alias("need")).unionByName(pairs.select(F.col("b").alias("need"))).distinct()
+    def _sets(self, need: DataFrame) -> DataFrame:
+        """(id, tokens) of the nodes of need (id), from one text of each."""
         owners = self.members.where("n > 0").groupBy("id").agg(F.min(F.struct(F.xxhash64("doc_id"), F.col("doc_id")))["doc_id"].alias("owner"))
-        need = written(owners.join(need, F.col("id") == F.col("need"), "left_semi"), "owners")
+        owners = written(owners.join(need.withColumnRenamed("id", "need"), F.col("id") == F.col("need"), "left_semi"), "owners")
         bucket = F.pmod(F.xxhash64("owner"), F.lit(FILTER_BUCKETS))
         mask = np.zeros(FILTER_BUCKETS, bool)
-        mask[need.select(bucket.alias("x")).distinct().toArrow()["x"].to_numpy()] = True
+        mask[owners.select(bucket.alias("x")).distinct().toArrow()["x"].to_numpy()] = True
         few = pa.array(np.flatnonzero(mask))
 
-        def each(ids, sets):
-            orders = [_orders(t) if len(t) else [np.empty(0, np.uint32)] * 2 for t in sets]
-            return {"doc_id": ids, "id": pa.array([_node(t) for t in sets], pa.int64()), "second": pa.array([o[0].tobytes() for o in orders], pa.binary()),
-                    "third": pa.array([o[1].tobytes() for o in orders], pa.binary()), "tokens": pa.array([t.tobytes() for t in sets], pa.binary())}
-
-        import pyarrow.compute as pc
-
         def run(batches):
             for batch in batches:
-                batch = batch.filter(pc.is_in(batch.column(2), value_set=few)).select([0, 1])
+                batch = batch.filter(pc.is_in(batch.column(1), value_set=few)).select([0])
                 for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
-                    yield pa.RecordBatch.from_pydict(each(part.column(0), [shingles(t) for t in part.column(1).to_pylist()]))
+                    sets = [shingles(t) for t in batch.slice(at, 256).column(0).to_pylist()]
+                    yield pa.RecordBatch.from_pydict({"id": pa.array([_node(t) for t in sets], pa.int64()), "tokens": pa.array([_packed(t) for t in sets], pa.binary())})
 
-        rows = self.rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BUCKETS)).alias("x"))
-        sets = rows.mapInArrow(run, f"doc_id {self.kind}, id long, second binary, third binary, tokens binary")
+        rows = self.rows.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BUCKETS)).alias("x"))
         # of the copies of a node only rows of its owner's bucket get here
-        sets = sets.join(need.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_semi")
-        sets = written(sets.select("id", "second", "third", "tokens").dropDuplicates(["id"]), "sets")
+        return rows.mapInArrow(run, "id long, tokens binary").join(owners.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_semi").dropDuplicates(["id"])
 
-        def sided(frame, columns):
-            for side in ("a", "b"):
-                frame = frame.join(sets.select(F.col("id").alias(f"_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in columns)), F.col(side) == F.col(f"_{side}"))
-            return frame
-
-        def shares(batches):
-            for batch in batches:
-                data = batch.to_pydict()
-                keep = [_passes(na, nb, (sa, ta), (sb, tb)) for na, nb, sa, ta, sb, tb in zip(data["n_a"], data["n_b"], data["second_a"], data["third_a"], data["second_b"], data["third_b"], strict=True)]
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-        def similar(batches):
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar; first by the other orders, then by whole sets."""
+        pairs = written(pairs.select("a", "b"), "pairs")
+        tasks = F.floor((F.col("partners") - 1) / PARTNERS).cast("int")
+        sizes = pairs.groupBy(F.col("b").alias("key")).agg(F.count("*").alias("partners"))
+        partners = pairs.join(sizes, F.col("b") == F.col("key")).select(
+            F.col("a").alias("id"), "key", F.pmod(F.xxhash64("a"), tasks + 1).cast("int").alias("salt"), F.lit(True).alias("partner"))
+        pivots = sizes.select(F.col("key").alias("id"), "key", F.explode(F.sequence(F.lit(0), tasks)).alias("salt"), F.lit(False).alias("partner"))
+        roles = written(partners.unionByName(pivots), "roles")
+        sets = self._sets(roles.select("id").distinct())
+        met = roles.join(sets.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).select("key", "salt", "partner", "id", "tokens")
+        met = met.repartition("key", "salt").sortWithinPartitions("key", "salt", "partner")
+
+        def compared(batches):
+            key, pivot, orders = None, None, None
             for batch in batches:
-                data = batch.to_pydict()
-                keep = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(data["tokens_a"], data["tokens_b"], strict=True)]
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-        passed = sided(pairs, ["second", "third"]).select("a", "b", "n_a", "n_b", "second_a", "third_a", "second_b", "third_b").mapInArrow(shares, "a long, b long")
-        passed = written(passed, "passed")
-        return written(sided(passed, ["tokens"]).select("a", "b", "tokens_a", "tokens_b").mapInArrow(similar, "a long, b long"), "links")
+                a, b = [], []
+                for at in range(batch.num_rows):
+                    k, partner, node, raw = (batch.column(c)[at].as_py() for c in (0, 2, 3, 4))
+                    tokens = _unpacked(raw)
+                    if not partner:
+                        key, pivot, orders = k, tokens, _orders(tokens)
+                    elif k != key:
+                        raise ValueError("a partner came before its pivot")
+                    elif _passes(len(tokens), len(pivot), _orders(tokens), orders) and _similar(tokens, pivot):
+                        a.append(node)
+                        b.append(k)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+        return written(met.mapInArrow(compared, "a long, b long"), "links")
 
     def links(self) -> DataFrame:
         """Links (a, b) between nodes whose components are those of all similar pairs."""
         tiers, hot = _tiers(self.first)
         lists = written(_lists(self.rows, tiers, hot), "lists")
-        star = lists.where((F.col("id") != F.col("pivot")) & _near(F.col("n"), F.col("pivot_n"))).select(
-            F.col("id").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b")).distinct()
+        long = lists.where(F.col("members") >= MANY)
+        star = long.where((F.col("id") != F.col("pivot")) & _near(F.col("n"), F.col("pivot_n"))).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
         found = self.verified(star)
-        labels = components(found)
-        rest = lists.join(labels.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("token", "id", "n", "pivot", F.coalesce("label", "id").alias("label"))
-        mixed_lists = rest.groupBy(F.col("token").alias("_token")).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("_token")
-        rest = written(rest.join(mixed_lists, F.col("token") == F.col("_token"), "left_semi"), "rest")
-        # pairs of labels within a list, and then their members: a label's own pairs are never formed
-        kinds = rest.select("token", "label").distinct()
-        other = kinds.select(F.col("token").alias("_token"), F.col("label").alias("_label"))
-        across = kinds.join(other, (F.col("token") == F.col("_token")) & (F.col("label") < F.col("_label"))).select("token", "label", "_label")
-        one = rest.select(F.col("token").alias("t1"), F.col("label").alias("l1"), F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("pivot").alias("p"))
-        two = rest.select(F.col("token").alias("t2"), F.col("label").alias("l2"), F.col("id").alias("b"), F.col("n").alias("n_b"))
-        pairs = across.join(one, (F.col("token") == F.col("t1")) & (F.col("label") == F.col("l1")))
-        pairs = pairs.join(two, (F.col("token") == F.col("t2")) & (F.col("_label") == F.col("l2")) & _near(F.col("n_a"), F.col("n_b")))
-        swap = F.col("a") < F.col("b")
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
-                             F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"), ((F.col("a") == F.col("p")) | (F.col("b") == F.col("p"))).alias("done"))
-        pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"), F.max("done").alias("done"))
-        pairs = pairs.where(~F.col("done") & _may_share(F.col("n_a"), F.col("n_b"), F.col("common"))).select("a", "b", "n_a", "n_b")
-        return found.unionByName(self.verified(pairs))
+        return found.unionByName(self.verified(_across(written(_mixed(lists, components(found)), "rest"))))
+
+
+def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, id, n, label) of the lists that hold several components."""
+    known = lists.select("token", "id", "n").join(labels.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
+    known = known.select("token", "id", "n", F.coalesce("label", "id").alias("label"))
+    several = known.groupBy(F.col("token").alias("_token")).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("_token")
+    return known.join(several, F.col("token") == F.col("_token"), "left_semi")
+
+
+def _across(rest: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different components that share so many tokens of their first prefixes that they may be similar."""
+    # pairs of labels within a list, and then their members: a label's own pairs are never formed
+    kinds = rest.select("token", "label").distinct()
+    other = kinds.select(F.col("token").alias("_token"), F.col("label").alias("_label"))
+    across = kinds.join(other, (F.col("token") == F.col("_token")) & (F.col("label") < F.col("_label"))).select("token", "label", "_label")
+    one = rest.select(F.col("token").alias("t1"), F.col("label").alias("l1"), F.col("id").alias("a"), F.col("n").alias("n_a"))
+    two = rest.select(F.col("token").alias("t2"), F.col("label").alias("l2"), F.col("id").alias("b"), F.col("n").alias("n_b"))
+    pairs = across.join(one, (F.col("token") == F.col("t1")) & (F.col("label") == F.col("l1")))
+    pairs = pairs.join(two, (F.col("token") == F.col("t2")) & (F.col("_label") == F.col("l2")) & _near(F.col("n_a"), F.col("n_b")))
+    swap = F.col("a") < F.col("b")
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
+                         F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"))
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
+    return pairs.where(_may_share(F.col("n_a"), F.col("n_b"), F.col("common"))).select("a", "b")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -268,11 +300,10 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _passes(na: int, nb: int, a: tuple[bytes, bytes], b: tuple[bytes, bytes]) -> bool:
+def _passes(na: int, nb: int, a: list[np.ndarray], b: list[np.ndarray]) -> bool:
     """Whether the prefixes share enough under each further order. Equal 32-bit parts only let more pairs pass."""
     least = min(_extra(na), _extra(nb)) + 1
     for x, y in zip(a, b, strict=True):
-        x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
         if int(np.isin(x, y).sum()) < least:
             return False
     return True
