@@ -1,19 +1,22 @@
 """Main text of pages by wrappers inferred for each host.
 
-A wrapper is the tree of a host's containers, each a path of tags with their first class or id; containers that repeat fall on one path.
-The texts of a path are told apart over the host's different pages (exact copies count once): one that stands on at least half of the pages
-that have the path, on CONSTANT_PAGES and on a page in CONSTANT_SHARE of the host, is a constant of the wrapper; a path that only some pages
-have is optional and judged by those. All other texts fill slots. It is all counted by aggregates of fixed size per text or path.
-
-The wrapper tells where the host's main text lies: the innermost container (article or main, else the one with most slot text) outside
-menus, headers, footers, sidebars, notices, adverts, forms and comments. Every page is then read whole: the slots of that container,
-without such parts inside it and without constants. A page without its host's container uses its own wrapper, and one
-without any slot text there keeps its constants. Null or empty html gives empty text.
+A page is a stream of tokens: the opening and closing tags of groups (GROUPS, with their first class or id) and the texts between them,
+each a run of all that stands between two such tags. Equal neighbouring groups fold into one repeated group. The streams of a
+host's different pages (exact copies count once) are aligned iteratively, in rounds of at most ALIGNED streams a task, until one
+wrapper is left, a union-free regular expression: tokens that match stay; a run of tokens that only one side has becomes an optional
+group; one that repeats its neighbour becomes a repeated group; a text that is the same on all aligned pages is a constant, all others fill a slot.
+
+The wrapper tells where the host's main text lies: the innermost container (article or main, else the deepest group with nearly all
+slot text) outside menus, headers, footers, sidebars, notices, adverts, forms and comments. Inside the container all stays but
+groups that hold nothing but constants, on CONSTANT_PAGES pages or more: boxes of the template. Headings, paragraphs, lists and tables aren't groups and
+stay even if every page has them. A page without its host's container uses its own wrapper, and one without any other
+text there keeps its constants. Null or empty html gives empty text; rows that repeat give equal rows.
 """
 
 from __future__ import annotations
 
 import html as references
+import json
 import re
 from difflib import SequenceMatcher
 
@@ -25,8 +28,8 @@ from pyspark.sql import functions as F
 #: Rules of this many hosts go to all tasks (under 300 bytes each), with this many constants in all (8 bytes each); of more, they are joined.
 BROADCAST_HOSTS = 50_000
 BROADCAST_CONSTANTS = 2_000_000
-#: Different pages a constant stands on, at least, and one in so many of the host's.
-CONSTANT_PAGES, CONSTANT_SHARE = 3, 20
+#: Different pages a constant stands on, at least, and streams that a task aligns to one.
+CONSTANT_PAGES, ALIGNED = 3, 256
 #: Element names of HTML.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data dfn del em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,7 +40,10 @@ CLOSES = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(
 OPENS_BLOCK = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol pre section table ul".split())
 SCOPES = frozenset("html body article main section div td th table ul ol dl nav aside header footer form blockquote".split())
 NAMED = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|menu|nav|navbar|navigation|sidebar|masthead|site-header|site-footer|comments?|respond|replies|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|breadcrumbs?|pagination|pager|widget)(?:$|[\s_-])")
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|<[!?][^>]*(?:>|$)", re.S)
+#: Elements that are groups of a wrapper; all others are text.
+GROUPS = frozenset("html body main article section div center fieldset details".split())
+BEGIN = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][A-Za-z0-9:-]*))")
+STOP = re.compile("[>\"']")
 NAME = re.compile(r"(?i)\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 SPACE = re.compile(r"\s+")
 
@@ -58,6 +64,18 @@ def _label(tag: str, attributes: str) -> str:
     return tag
 
 
+def _tag_end(page: str, at: int, quotes: dict[str, int]) -> int:
+    """Where a tag ends: behind the next > outside quotes. A quote that is never closed counts as a character, so
+    that no place of the page is read twice."""
+    while m := STOP.search(page, at):
+        at = m.end()
+        if m[0] == ">":
+            return at
+        if at <= quotes[m[0]]:
+            at = page.find(m[0], at) + 1
+    return len(page)
+
+
 def tokens(page: str):
     """(kind, label, apart, text): kind is "open", "close" or "text"; inline tags vanish, and tags that close by rule are closed."""
     stack: list[tuple[str, str]] = []
@@ -75,17 +93,21 @@ def tokens(page: str):
             yield "close", stack.pop()[1], False, ""
 
     at, end = 0, len(page)
+    quotes = {q: page.rfind(q) for q in "\"'"}
     while at < end:
-        m = TOKEN.search(page, at)
+        m = BEGIN.search(page, at)
         if not m:
             text.append(page[at:])
             break
         text.append(page[at:m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        if m[1] or m[2]:
+            close = page.find("-->" if m[1] else ">", m.end())
+            at = end if close < 0 else close + (3 if m[1] else 1)
             continue
-        if m[1]:
+        at = _tag_end(page, m.end(), quotes)
+        attributes = page[m.end():at]
+        tag = m[4].lower()
+        if m[3]:
             if tag in INLINE or tag in VOID:
                 continue
             place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
@@ -94,7 +116,7 @@ def tokens(page: str):
                 yield from closed(place)
             continue
         if tag in RAW:
-            if not m[0].endswith("/>"):
+            if not attributes.endswith("/>"):
                 stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = stop.end() if stop else end
             if tag != "svg":
@@ -113,134 +135,174 @@ def tokens(page: str):
             if stack[k][0] in SCOPES:
                 break
         if tag not in VOID:
-            label = _label(tag, m[3])
+            label = _label(tag, attributes)
             stack.append((tag, label))
-            yield "open", label, _apart(tag, m[3]), ""
+            yield "open", label, _apart(tag, attributes), ""
     yield from flushed()
     yield from closed(0)
 
 
-def folded(page: str) -> list[list]:
-    """The page's own wrapper: items [path, token, repeated, optional, characters], equal neighbouring groups folded into one."""
-    items: list[list] = []
-    path: list[str] = []
+def grouped(page: str):
+    """(kind, path, texts, apart) of a page's groups: "open", "close", and "text" for the run of texts between two of those."""
+    path: list[str] = []  # labels of all open elements; those of groups lead to a text
+    held: list[str] = []
     skipped = 0
-    begins: list[int] = []
+
+    def groups():
+        return "/".join(x for x in path if x.split(".")[0] in GROUPS)
+
     for kind, label, apart, text in tokens(page):
+        if kind == "text":
+            if not skipped:
+                held.append(text)
+            continue
+        is_group = label.split(".")[0] in GROUPS
+        if (is_group or apart) and held:
+            yield "text", groups(), held
+            held = []
         if kind == "open":
-            skipped += bool(skipped or apart)
             path.append(label)
-            begins.append(len(items))
-            if not skipped:
-                items.append(["/".join(path), f"<{label}>", False, False, 0])
-        elif kind == "close":
-            if not skipped:
-                items.append(["/".join(path), f"</{label}>", False, False, 0])
-                start = begins[-1]
-                group = len(items) - start
-                before = items[start - group:start] if start >= group else []
-                if before and [x[:2] for x in before] == [x[:2] for x in items[start:]]:
-                    for x, y in zip(before, items[start:], strict=True):
-                        x[2], x[4] = True, x[4] + y[4]
-                    del items[start:]
+            skipped += bool(skipped or apart)
+            if is_group and not skipped:
+                yield "open", groups(), []
+        else:
+            if skipped and held:
+                held = []
+            if is_group and not skipped:
+                yield "close", groups(), []
             skipped -= bool(skipped)
             path.pop()
-            begins.pop()
-        elif not skipped:
-            if items and items[-1][1] == "#" and items[-1][0] == "/".join(path):
-                items[-1][2], items[-1][4] = True, items[-1][4] + len(text)
-            else:
-                items.append(["/".join(path), "#", False, False, len(text)])
+    if held:
+        yield "text", groups(), held
+
+
+def _key(path: str, texts: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join([path, *texts]).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+#: An item of a wrapper: path, token (<, > or #), repeated, optional, characters of a text, its key (None: a slot), pages that have it.
+PATH, TOKEN, REPEATED, OPTIONAL, SIZE, TEXT, PAGES = range(7)
+
+
+def _merged(x: list, y: list, same_page: bool = False) -> list:
+    """Two items of the same path and token as one."""
+    pages = max(x[PAGES], y[PAGES]) if same_page else x[PAGES] + y[PAGES]
+    return [x[PATH], x[TOKEN], x[REPEATED] or y[REPEATED] or same_page, x[OPTIONAL] or y[OPTIONAL], x[SIZE] + y[SIZE], x[TEXT] if x[TEXT] == y[TEXT] else None, pages]
+
+
+def _kinds(items: list[list]) -> list[tuple]:
+    return [(x[PATH], x[TOKEN]) for x in items]
+
+
+def folded(page: str) -> list[list]:
+    """The page's own wrapper; equal neighbouring groups are folded into a repeated one."""
+    items: list[list] = []
+    begins: list[int] = []
+    for kind, path, own in grouped(page):
+        if kind == "text":
+            items.append([path, "#", False, False, sum(map(len, own)), _key(path, own), 1])
+            continue
+        if kind == "open":
+            begins.append(len(items))
+            items.append([path, "<", False, False, 0, None, 1])
+            continue
+        items.append([path, ">", False, False, 0, None, 1])
+        start = begins.pop()
+        size = len(items) - start
+        before = items[start - size:start] if start >= size else []
+        if before and _kinds(before) == _kinds(items[start:]):
+            items[start - size:] = [_merged(x, y, True) for x, y in zip(before, items[start:], strict=True)]
     return items
 
 
 def aligned(one: list[list], two: list[list]) -> list[list]:
-    """The wrapper of two pages in order (extract() counts by path instead, see wrappers()): common items stay, others become optional; of an optional run equal to its neighbour only one stays."""
+    """The wrapper of two wrappers: common items are merged, runs that one side lacks become optional, and one that only repeats what
+    stands before it makes that a repeated group."""
+    kinds = _kinds(one), _kinds(two)
+    if kinds[0] == kinds[1]:
+        return [_merged(x, y) for x, y in zip(one, two, strict=True)]
     out: list[list] = []
-    match = SequenceMatcher(None, [(x[0], x[1]) for x in one], [(x[0], x[1]) for x in two], autojunk=False)
-    for what, a, b, c, d in match.get_opcodes():
+    for what, a, b, c, d in SequenceMatcher(None, *kinds, autojunk=False).get_opcodes():
         if what == "equal":
-            out += [[x[0], x[1], x[2] or y[2], x[3] or y[3], x[4] + y[4]] for x, y in zip(one[a:b], two[c:d], strict=True)]
+            out += [_merged(x, y) for x, y in zip(one[a:b], two[c:d], strict=True)]
             continue
         for run in (one[a:b], two[c:d]):
-            keys = [x[:2] for x in run]
-            if run and keys == [x[:2] for x in out[-len(run):]]:
-                for x, y in zip(out[-len(run):], run, strict=True):
-                    x[2], x[4] = True, x[4] + y[4]
+            if run and _kinds(run) == _kinds(out[-len(run):]):
+                out[-len(run):] = [_merged(x, y, True) for x, y in zip(out[-len(run):], run, strict=True)]
             else:
-                out += [[x[0], x[1], x[2], True, x[4]] for x in run]
+                out += [[*x[:OPTIONAL], True, *x[OPTIONAL + 1:]] for x in run]
     return out
 
 
-def texts(page: str):
-    """(path, text) of each text outside of parts that are apart."""
-    path: list[str] = []
-    skipped = 0
-    for kind, label, apart, text in tokens(page):
-        if kind == "open":
-            skipped += bool(skipped or apart)
-            path.append(label)
-        elif kind == "close":
-            skipped -= bool(skipped)
-            path.pop()
-        elif not skipped:
-            yield "/".join(path), text
-
-
-def _key(path: str, text: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{path}\0{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-#: Tags of the main text, and those too small to be a container.
-NAMED_MAIN, SMALL = ("article", "main"), ("p", "h1", "h2", "h3", "li")
+#: Tags of the main text.
+NAMED_MAIN = ("article", "main")
 
 
 def container(wrapper: list[list]) -> str:
-    """The path that holds a page's main text: the shortest article or main, else the deepest path with most of all slot text."""
+    """The path of the group that holds the main text: the article or main with most slot text (the shortest of equal ones),
+    else the deepest group with 9 in 10 characters of all slots. Without slots, constants count."""
+    slots = [x for x in wrapper if x[TOKEN] == "#" and x[TEXT] is None] or [x for x in wrapper if x[TOKEN] == "#"]
     weight: dict[str, int] = {}
-    for path, token, _, _, size in wrapper:
-        if token == "#":
-            labels = path.split("/")
-            for k in range(1, len(labels) + 1):
-                own = "/".join(labels[:k])
-                weight[own] = weight.get(own, 0) + size
+    for x in slots:
+        labels = x[PATH].split("/")
+        for k in range(1, len(labels) + 1):
+            own = "/".join(labels[:k])
+            weight[own] = weight.get(own, 0) + x[SIZE]
     named = [p for p in weight if p.rsplit("/", 1)[-1].split(".")[0] in NAMED_MAIN]
     if named:
         return min(named, key=lambda p: (-weight[p], len(p), p))
-    total = sum(size for _, token, _, _, size in wrapper if token == "#")
-    enough = [p for p, w in weight.items() if 10 * w >= 9 * total and p.rsplit("/", 1)[-1].split(".")[0] not in SMALL]
-    return max(enough, key=lambda p: (p.count("/"), p), default="")
+    total = sum(x[SIZE] for x in slots)
+    return max((p for p, w in weight.items() if 10 * w >= 9 * total), key=lambda p: (p.count("/"), p), default="")
+
+
+def template(wrapper: list[list]) -> list[int]:
+    """Keys of the texts of groups that hold nothing but constants: boxes of the template. A repeated text is no constant."""
+    open_: list[list] = []
+    out: list[int] = []
+    for x in wrapper:
+        if x[TOKEN] == "<":
+            open_.append([True, []])
+        elif x[TOKEN] == "#":
+            if open_:
+                fixed = x[TEXT] is not None and not x[REPEATED] and x[PAGES] >= CONSTANT_PAGES
+                open_[-1][0] &= fixed
+                open_[-1][1].append(x[TEXT])
+        elif open_:
+            constant, held = open_.pop()
+            if constant:
+                out += held
+            elif open_:
+                open_[-1][0] = False
+    return out
 
 
-def main_text(page: str | None, rule: str, constants=frozenset()) -> str:
-    """Slots inside the container, or inside the page's own if it hasn't the host's; one line each."""
+def rule_of(wrapper: list[list]) -> tuple[str, list[int]]:
+    return container(wrapper), template(wrapper)
+
+
+def main_text(page: str | None, rule: str | None, constants=frozenset()) -> str:
+    """All texts inside the container but the template's boxes; inside the page's own container if it hasn't the host's."""
     if not page:
         return ""
-    found = _blocks(page, rule)
+    found = _runs(page, rule) if rule is not None else None
     if found is None:
-        found = _blocks(page, container(folded(page))) or []
-    slots = [x for x in found if _key(*x) not in constants]
-    return "\n".join(text for _, text in slots or found)
+        found = _runs(page, container(folded(page))) or []
+    kept = [own for path, own in found if _key(path, own) not in constants]
+    return "\n".join(text for own in kept or [own for _, own in found] for text in own)
 
 
-def _blocks(page: str, rule: str) -> list[tuple[str, str]] | None:
-    path: list[str] = []
-    skipped, inside, seen = 0, 0, rule == ""
-    out: list[tuple[str, str]] = []
-    wanted = rule.split("/")
-    for kind, label, apart, text in tokens(page):
+def _runs(page: str, rule: str) -> list[tuple[str, list[str]]] | None:
+    """(path, texts) of the runs in the groups of this path; None if the page has none."""
+    inside, seen, out = 0, rule == "", []
+    for kind, path, own in grouped(page):
         if kind == "open":
-            path.append(label)
-            skipped += bool(skipped or apart)
-            if inside or path == wanted and not skipped:
+            if inside or path == rule:
                 inside += 1
                 seen = True
         elif kind == "close":
-            path.pop()
-            skipped -= bool(skipped)
             inside -= bool(inside)
-        elif not skipped and (inside or rule == ""):
-            out.append(("/".join(path), text))
+        elif inside or rule == "":
+            out.append((path, own))
     return out if seen else None
 
 
@@ -249,70 +311,80 @@ def _hosted(pages: DataFrame) -> DataFrame:
     return pages.select(pages["page_id"].alias("page_id"), pages["url"].cast("string").alias("url"), F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html"), host.alias("host"))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, path, text, pages, size, constant): the different texts of each path by hash, the different pages that have them and their characters there."""
+STREAMS = "host string, page long, items string"
+
+
+def streams(pages: DataFrame) -> DataFrame:
+    """(host, page, items): the folded token stream of each different page, by the hash of its html."""
     from dispatchlens.llm.store import written
 
     def read(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out: list[tuple] = []
-                for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    own: dict[tuple[str, int], int] = {}
-                    for path, text in texts(page):
-                        key = path, _key(path, text)
-                        own[key] = own.get(key, 0) + len(text)
-                    number = xxhash.xxh3_64_intdigest(page.encode("utf-8", "surrogatepass")) - (1 << 63)
-                    out += [(host, path, text, number, size) for (path, text), size in own.items()]
-                columns = list(zip(*out, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-                                                 ["host", "path", "text", "page", "size"])
-
-    held = _hosted(pages).select("host", "html").mapInArrow(read, "host string, path string, text long, page long, size long")
-    held = written(held.groupBy("host", "path", "text", "page").agg(F.max("size").alias("size")), "texts")  # copies of a page once
-    by_path = held.select("host", "path", "page").distinct().groupBy(F.col("host").alias("_host"), F.col("path").alias("_path")).agg(F.count("*").alias("path_pages"))
-    by_host = held.select("host", "page").distinct().groupBy(F.col("host").alias("_whole")).agg(F.count("*").alias("host_pages"))
-    found = held.groupBy("host", "path", "text").agg(F.count("*").alias("pages"), F.sum("size").alias("size"))
-    often = found.where(F.col("pages") >= CONSTANT_PAGES).select("host", "path", "text", "pages")
-    often = often.join(by_path, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path"))).join(by_host, F.col("host") == F.col("_whole"))
-    often = often.where((2 * F.col("pages") >= F.col("path_pages")) & (CONSTANT_SHARE * F.col("pages") >= F.col("host_pages")))
-    often = often.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("text").alias("_t"))
-    same = (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")) & (F.col("text") == F.col("_t"))
-    return found.join(often, same, "left").select("host", "path", "text", "pages", "size", F.col("_t").isNotNull().alias("constant"))
+            for at in range(0, batch.num_rows, 128):
+                hosts, texts = (c.to_pylist() for c in batch.slice(at, 128).columns)
+                numbers = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in texts]
+                yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "page": pa.array(numbers, pa.int64()),
+                                                  "items": pa.array([json.dumps(folded(t), separators=(",", ":")) for t in texts], pa.string())})
+
+    held = _hosted(pages).where("html <> ''").select("host", "html").mapInArrow(read, STREAMS)
+    return written(held.dropDuplicates(["host", "page"]), "streams")
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, page, items): one wrapper for each host, aligned in rounds; `page` is the least number of those aligned."""
+    from dispatchlens.llm.store import written
+
+    def align(batches):
+        now, made, first = None, [], 0
+
+        def row():
+            return pa.RecordBatch.from_pydict({"host": pa.array([now[0]], pa.string()), "page": pa.array([first], pa.int64()), "items": pa.array([json.dumps(made, separators=(",", ":"))], pa.string())})
+
+        for batch in batches:
+            for host, salt, number, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (host, salt) != now:
+                    if now is not None:
+                        yield row()
+                    now, made, first = (host, salt), json.loads(items), number
+                else:
+                    made = aligned(made, json.loads(items))
+        if now is not None:
+            yield row()
+
+    held = streams(pages)
+    while True:
+        sizes = held.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("n"))
+        if not sizes.where("n > 1").limit(1).count():
+            return held
+        # the streams of a host are dealt to so many tasks; null hosts can't occur
+        dealt = held.join(sizes, F.col("host") == F.col("_host"))
+        salt = F.pmod(F.xxhash64("page"), F.ceil(F.col("n") / ALIGNED)).cast("int")
+        dealt = dealt.select("host", salt.alias("salt"), "page", "items").repartition("host", "salt").sortWithinPartitions("host", "salt", "page")
+        held = written(dealt.mapInArrow(align, STREAMS), "wrappers")
 
 
 def rules(found: DataFrame) -> DataFrame:
-    """(host, rule, constants): the container path of each host by its slot text, and the hashes of its constants."""
-    slots = found.where(~F.col("constant")).groupBy("host", "path").agg(F.sum("size").alias("size"))
-    labels = F.split("path", "/")
-    above = slots.select("host", "size", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, F.lit(1), k), "/"))).alias("own"))
-    weights = above.groupBy("host", "own").agg(F.sum("size").alias("w"))
-    totals = slots.groupBy(F.col("host").alias("_host")).agg(F.sum("size").alias("total"))
-    tag = F.substring_index(F.substring_index("own", "/", -1), ".", 1)
-    named, depth = tag.isin(*NAMED_MAIN), F.size(F.split("own", "/"))
-    enough = (10 * F.col("w") >= 9 * F.col("total")) & ~tag.isin(*SMALL)
-    chosen = weights.join(totals, F.col("host") == F.col("_host")).groupBy("host").agg(
-        F.min(F.when(named, F.struct((-F.col("w")).alias("a"), F.length("own").alias("b"), "own")))["own"].alias("main"),
-        F.max(F.when(enough, F.struct(depth.alias("a"), "own")))["own"].alias("deep"))
-    chosen = chosen.select("host", F.coalesce("main", "deep", F.lit("")).alias("rule"))
-    # at most CONSTANT_SHARE times the texts of a page each
-    fixed = found.where("constant").groupBy(F.col("host").alias("_host")).agg(F.collect_list("text").alias("constants"))
-    return chosen.join(fixed, F.col("host") == F.col("_host"), "left").select("host", "rule", F.coalesce("constants", F.array().cast("array<bigint>")).alias("constants"))
+    """(host, rule, constants) of each host's wrapper: the container's path and the keys of the template's boxes."""
+    def judge(batches):
+        for batch in batches:
+            made = [rule_of(json.loads(x)) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"host": batch.column(0), "rule": pa.array([r for r, _ in made], pa.string()), "constants": pa.array([c for _, c in made], pa.list_(pa.int64()))})
+
+    return found.select("host", "items").mapInArrow(judge, "host string, rule string, constants array<bigint>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every row."""
     from dispatchlens.llm.store import written
 
-    found = written(rules(written(wrappers(pages), "wrappers")), "rules")
+    found = written(rules(wrappers(pages)), "rules")
     rows = _hosted(pages)
     kind = rows.schema["page_id"].dataType.simpleString()
     other = found.select(F.col("host").alias("_host"), "rule", "constants")
     sizes = found.agg(F.count("*").alias("hosts"), F.coalesce(F.sum(F.size("constants")), F.lit(0)).alias("constants")).first()
     if sizes["hosts"] <= BROADCAST_HOSTS and sizes["constants"] <= BROADCAST_CONSTANTS:
         other = F.broadcast(other)
-    rows = rows.join(other, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", F.coalesce("rule", F.lit("")).alias("rule"), "constants")
+    rows = rows.join(other, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "rule", "constants")
 
     def run(batches):
         for batch in batches:
