@@ -67,31 +67,41 @@ def windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> D
     return each.select("length", "words", "items", F.shiftright("kept", PLACE_BITS).alias("h"), _place(F.col("kept")).alias("at"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, n_words, n_hit, items) for each row of docs: words inside an occurring window, items with one (sorted)."""
-    return _grouped(docs, benchmark).select("doc_id", "n_words", "n_hit", "items", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("col")
+    return _grouped(docs, benchmark, broadcast_rows).select("doc_id", "n_words", "n_hit", "items", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("col")
 
 
-def _grouped(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    spark = docs.sparkSession
+def _grouped(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     bench = windows(benchmark)
     sizes = {r["length"]: r["n"] for r in bench.groupBy("length").agg(F.count("*").alias("n")).collect()}
     lengths = sorted(sizes) or [WINDOW]
     bench = bench.select(F.col("length").alias("b_length"), F.col("words").alias("b_words"), "items", F.col("h").alias("b_h"), F.col("at").alias("b_at"))
-    if sum(sizes.values()) <= BROADCAST_ROWS:
+    few = sum(sizes.values()) <= broadcast_rows
+    if few:
         bench = F.broadcast(bench)
     rows = identified(docs).select("doc_id", "_hash", words(F.col("text")).alias("words"))
+    texts = rows.select("doc_id", "_hash", F.size("words").cast("long").alias("n_words"), "words")
     # one entry without a hash stands for the document itself
     own = F.array(F.lit(None).cast("long"))
     prints = F.concat(own, *(F.coalesce(_fingerprints(F.col("words"), n), F.slice(own, 1, 0)) for n in lengths))
     rows = rows.select("doc_id", "_hash", F.size("words").cast("long").alias("n_words"), "words", prints.alias("prints"))
     # never empty; explode() would have Spark test the size of prints below, with the words made anew inside
-    rows = rows.select("doc_id", "_hash", "n_words", "words", F.explode_outer("prints").alias("kept"))
-    rows = rows.select("doc_id", "_hash", "n_words", "words", F.shiftright("kept", PLACE_BITS).alias("h"), _place(F.col("kept")).alias("at"))
+    rows = rows.select("doc_id", "_hash", "n_words", *(["words"] if few else []), F.explode_outer("prints").alias("kept"))
+    rows = rows.withColumns({"h": F.shiftright("kept", PLACE_BITS), "at": _place(F.col("kept"))}).drop("kept")
     start = F.col("at") - F.col("b_at")
     hit = rows.join(bench, F.col("h") == F.col("b_h"), "left")
+    hit = hit.where(F.col("h").isNull() | (F.col("b_h").isNotNull() & (start >= 0)))
+    if not few:
+        # a fingerprint goes without its text to the join; the words meet the hits alone, once for each document
+        spans = F.struct(F.col("at"), F.col("b_at"), F.col("b_length"), F.col("b_words"), F.col("items"))
+        found = hit.where("h is not null").groupBy(F.col("doc_id").alias("_id"), F.col("_hash").alias("_text")).agg(F.collect_list(spans).alias("found"))
+        found = found.join(texts.select("doc_id", "_hash", "words").dropDuplicates(["doc_id", "_hash"]), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_text") == F.col("_hash")))
+        found = found.select("doc_id", "_hash", F.lit(None).cast("long").alias("n_words"), "words", F.lit(0).cast("long").alias("h"), F.inline("found"))
+        alone = hit.where("h is null").select("doc_id", "_hash", "n_words", F.lit(None).cast("array<string>").alias("words"), "h", "at", "b_at", "b_length", "b_words", "items")
+        hit = found.unionByName(alone)
     same = (start >= 0) & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("b_length")) == F.col("b_words"))
-    hit = hit.where(F.col("h").isNull() | (F.col("b_h").isNotNull() & same))
+    hit = hit.where(F.col("h").isNull() | same)
     hit = hit.select("doc_id", "_hash", "n_words", F.when(F.col("h").isNotNull(), F.struct(start.alias("start"), (start + F.col("b_length")).alias("stop"))).alias("span"),
                      F.when(F.col("h").isNull(), 1).alias("self"), F.col("items").alias("found"))
     grouped = hit.groupBy("doc_id", "_hash").agg(F.max("n_words").alias("n_words"), F.count("self").cast("int").alias("copies"),
