@@ -4,10 +4,11 @@ Base: add-one counts of lower-cased words and text ends over all training docume
 64-bit hashes. The FREQUENT most frequent words (a table of fixed size) are looked up where a text is read; all other words go through a
 join, so that no count is left out and no vocabulary is sent whole.
 
-Model: one layer of causal self-attention over subword ids, trained on all training documents. Their ids are dealt at random over
-tasks and ROUNDS. In a round each task starts from the weights sent to it and takes a step on each batch of its windows; the changes of a
-weight row, in proportion to the ids that used it, are averaged on Spark, and only the averages, of the weights' size, come back. A corpus of
-fewer ids than STEPS batches is read several times. An id is predicted as four digits, each a softmax over the state and a bias by the
+Model: one layer of causal self-attention over subword ids, trained on all training documents. Their ids are dealt by hashes of their
+texts over groups, whose number follows from the size of the texts alone, and ROUNDS. In a round every group starts from the weights sent
+to it and takes a step on each batch of its windows; the changes of a weight row, in proportion to the ids that used it, are averaged
+on Spark in the order of the groups, and only the averages, of the weights' size, come back. A corpus of fewer ids than STEPS batches is
+read several times. Neither files, tasks nor cores change a score; it is rounded to PLACES_OF_SCORE. Rows that repeat train as often and get equal scores. An id is predicted as four digits, each a softmax over the state and a bias by the
 digits before it. A text is read in windows of WINDOW ids that start every STRIDE ids; each id, and the end, is scored once, in
 the window that sees most of what precedes it. Null texts are empty: their end alone is scored.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import math
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,11 @@ WIDTH = 16
 DIGITS, BASE = 4, 15
 STEPS, BATCH, RATE = 250, 64, 0.15
 ROUNDS = 4
-#: Ids in one row of the training table, ids whose windows are mixed, and ids of the whole corpus for a task, at least and at most.
+#: Ids in one row of the training table, and ids whose windows are mixed.
 BLOCK, MIXED = 8_192, 64 * BATCH * WINDOW
-TASK_IDS = (1 << 17, 1 << 24)
+#: Bytes of text for a group of all rounds, and groups at most; of a larger corpus each has more.
+GROUP_BYTES, GROUPS_MOST = 32_000_000, 1_024
+PLACES_OF_SCORE = 3
 #: Weight rows summed together.
 SUMMED = 4_096
 END_WORD = xxhash.xxh3_64_intdigest(b" ")
@@ -277,12 +281,16 @@ def fitted(train: DataFrame, path: str) -> Attention:
     spark = train.sparkSession
 
     def encode(batches):
-        row = TaskContext.get().partitionId() << 36
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                blocks = [b.tobytes() for x in _ids(batch.column(0).slice(at, 64).to_pylist(), path) for b in _blocks(x)]
-                yield pa.RecordBatch.from_pydict({"row": pa.array(range(row, row + len(blocks)), pa.int64()), "ids": pa.array(blocks, pa.binary())})
-                row += len(blocks)
+                texts = batch.column(0).slice(at, 64).to_pylist()
+                mixes, blocks = [], []
+                for text, ids in zip(texts, _ids(texts, path), strict=True):
+                    own = _blocks(ids)
+                    name = text.encode("utf-8", "surrogatepass")
+                    mixes += [xxhash.xxh3_64_intdigest(name, seed=k) - (1 << 63) for k in range(len(own))]
+                    blocks += [b.tobytes() for b in own]
+                yield pa.RecordBatch.from_pydict({"mix": pa.array(mixes, pa.int64()), "ids": pa.array(blocks, pa.binary())})
 
     def count(batches):
         total = np.zeros(BASE ** DIGITS, np.int64)
@@ -292,10 +300,12 @@ def fitted(train: DataFrame, path: str) -> Attention:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": pa.array(used), "c": pa.array(total[used])})
 
-    # dealt by a hash of the place, so that no task or round has a single source, language or group of copies
-    dealt = train.select("text").mapInArrow(encode, "row long, ids binary").withColumn("mix", F.xxhash64("row"))
-    dealt = dealt.withColumn("round", F.pmod(F.col("mix"), F.lit(ROUNDS)).cast("int")).repartition("row").sortWithinPartitions("round", "mix")
-    table = written(dealt.select("round", "ids"), "ids")
+    size = train.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    groups = min(max(1, -(-size // GROUP_BYTES)), GROUPS_MOST)
+    # dealt by a hash of the text, so that no group or round has a single source, language or file
+    dealt = train.select("text").mapInArrow(encode, "mix long, ids binary")
+    dealt = dealt.select(F.pmod(F.xxhash64("mix"), F.lit(ROUNDS)).cast("int").alias("round"), F.pmod(F.xxhash64("mix", F.lit(1)), F.lit(groups)).cast("int").alias("group"), "mix", "ids")
+    table = written(dealt, "ids")
     seen = table.select("ids").mapInArrow(count, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).toArrow()  # one row an id of the vocabulary
     counts = np.zeros(BASE ** DIGITS, np.int64)
     counts[seen["id"].to_numpy()] = seen["c"].to_numpy()
@@ -304,12 +314,11 @@ def fitted(train: DataFrame, path: str) -> Attention:
     if not n:
         return model
     passes = max(1, -(-STEPS * BATCH * WINDOW // n))
-    least, most = TASK_IDS
-    tasks = max(min(spark.sparkContext.defaultParallelism, -(-n // least)), -(-n // most))
     rows, memory = as_rows(model.w), np.full(len(as_rows(model.w)), 1e-4)
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast((rows, memory))
-        found = table.where(F.col("round") == r).select("ids").coalesce(tasks).mapInArrow(_task(shared, passes), "part int, block int, data binary")
+        dealt = table.where(F.col("round") == r).select("group", "mix", "ids").repartition("group").sortWithinPartitions("group", "mix", "ids")
+        found = dealt.select("group", "ids").mapInArrow(_task(shared, passes), "part int, block int, data binary")
         found = found.repartition(-(-len(rows) // SUMMED), "block").sortWithinPartitions("block", "part").mapInArrow(_sums, "block int, data binary")
         rows, memory = rows.copy(), memory.copy()
         for block, data in zip(*found.toArrow().to_pydict().values(), strict=True):  # as many values as there are weights
@@ -331,28 +340,32 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _task(shared, passes: int):
-    """Local steps over a task's blocks; by blocks of weight rows: uses, growth of memory and change, both times uses."""
+    """Local steps over each group's blocks; by blocks of weight rows: uses, growth of memory and change, both times uses."""
+    def rows_of(batches):
+        for batch in batches:
+            yield from zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+
     def run(batches):
         start, grown = shared.value
-        model = Attention({k: v.copy() for k, v in from_rows(start).items()})
-        memory = _memory(grown)
-        ids, before = np.zeros(BASE ** DIGITS), np.zeros(BASE ** DIGITS)
-        blocks = (np.frombuffer(x, "<u2") for batch in batches for x in batch.column(0).to_pylist())
-        blocks = list(blocks) * passes if passes > 1 else blocks  # repeated only when the whole corpus is small
-        for first, then in _batches(blocks):
-            model.step(first, then, memory)
-            before += np.bincount(first.reshape(-1), minlength=len(before))
-            ids += np.bincount(then.reshape(-1), minlength=len(ids))
-        uses = _uses(ids, before)
-        growth = as_rows(memory)
-        growth[:, BASE:] = np.where(growth[:, BASE:] == 0, growth[:, :1], growth[:, BASE:])  # biases are one short of WIDTH
-        values = np.column_stack([uses, (growth.mean(1) - grown) * uses, (as_rows(model.w) - start) * uses[:, None]])
-        part = TaskContext.get().partitionId()
-        for block in range(-(-len(uses) // SUMMED)):
-            own = values[block * SUMMED:(block + 1) * SUMMED]
-            used = np.flatnonzero(own[:, 0])
-            if len(used):
-                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "data": pa.array([_packed(used, own[used])], pa.binary())})
+        for group, rows in groupby(rows_of(batches), key=lambda r: r[0]):
+            model = Attention({k: v.copy() for k, v in from_rows(start).items()})
+            memory = _memory(grown)
+            ids, before = np.zeros(BASE ** DIGITS), np.zeros(BASE ** DIGITS)
+            blocks = (np.frombuffer(x.as_py(), "<u2") for _, x in rows)
+            blocks = list(blocks) * passes if passes > 1 else blocks  # repeated only when the whole corpus is small
+            for first, then in _batches(blocks):
+                model.step(first, then, memory)
+                before += np.bincount(first.reshape(-1), minlength=len(before))
+                ids += np.bincount(then.reshape(-1), minlength=len(ids))
+            uses = _uses(ids, before)
+            growth = as_rows(memory)
+            growth[:, BASE:] = np.where(growth[:, BASE:] == 0, growth[:, :1], growth[:, BASE:])  # biases are one short of WIDTH
+            values = np.column_stack([uses, (growth.mean(1) - grown) * uses, (as_rows(model.w) - start) * uses[:, None]])
+            for block in range(-(-len(uses) // SUMMED)):
+                own = values[block * SUMMED:(block + 1) * SUMMED]
+                used = np.flatnonzero(own[:, 0])
+                if len(used):
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([group], pa.int32()), "block": pa.array([block], pa.int32()), "data": pa.array([_packed(used, own[used])], pa.binary())})
 
     return run
 
@@ -447,4 +460,4 @@ def scored(docs: DataFrame, held_out, path: str) -> DataFrame:
     own = all_rows.where("word is null").join(rest, F.col("row") == F.col("_row"), "left")
     size = math.log10(n + v + 1)
     return own.select("doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-                      (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n") * F.lit(size)).alias("base_score"), "score")
+                      (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n") * F.lit(size)).alias("base_score"), F.round("score", PLACES_OF_SCORE).alias("score"))

@@ -74,3 +74,39 @@ def test_parts_are_linked_over_a_long_value(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.find_secrets(docs).collect()}
     assert got == {0: ["assign", "identifier"], 1: ["assign", "identifier", "endpoint"], 2: ["assign"], 3: ["assign", "identifier"]}
+
+
+def test_language_model_scores_do_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(2)
+    words = "river stone cloud window garden paper table horse".split()
+    rows = [(i, " ".join(rng.choice(words, int(rng.integers(1, 80))))) for i in range(60)] + [(60, None), (61, ""), (7, "river stone"), (7, "river stone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for parts in (1, 5):
+        scored = lm.scored(docs.repartition(parts), F.col("doc_id") % 7 == 2, public_tokenizers.path(MULTI_BPE)).collect()
+        got.append(sorted((tuple(r) for r in scored), key=repr))
+    assert len(got[0]) == 64
+    for a, b in zip(*got, strict=True):
+        assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 2e-3
+
+
+def test_language_model_of_nothing(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert lm.scored(docs, F.lit(False), public_tokenizers.path(MULTI_BPE)).collect() == []
+    held = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert [r["train_tokens"] for r in lm.scored(held, F.lit(True), public_tokenizers.path(MULTI_BPE)).collect()] == [0, 0]
+
+
+def test_fingerprints_joined_by_a_shuffle_give_the_same(spark):
+    from dispatchlens.llm import decontaminate
+
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(40)]
+    item = " ".join(rng.choice(words, 30))
+    texts = [None, "", item, " ".join(rng.choice(words, 300)) + " " + item, item[:90] + " " + item, " ".join(rng.choice(words, 5000)), "w1 w2 w3", "w3 w1 w2 w3"]
+    docs = spark.createDataFrame([*enumerate(texts), (3, texts[3]), (None, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "w1 w2 w3"), (3, None), (4, " ".join(words[:12]))], "item_id long, text string")
+    one, other = (sorted(map(repr, decontaminate.contaminated(docs, bench, n).collect())) for n in (200_000, 0))
+    assert one == other and len(one) == 10
+    plan = decontaminate._grouped(docs, bench, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ResolvedHint" not in plan
