@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterable
 
 #: Chunks kept by a worker before its cache starts anew (about 200 bytes each), and the longest one kept.
-CACHE_CHUNKS = 1_200_000
+CACHE_CHUNKS = 1_000_000
 CACHE_CHARS = 64
 _DOUBLED = re.compile(r"\s | \s")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
@@ -27,12 +27,18 @@ class ChunkEncoder:
     def texts(self, texts: list[str]) -> list[bytes]:
         split = [_BOUNDARY.split(t) if t[:1] == " " or _DOUBLED.search(t) else t.split(" ") for t in texts]
         self._learn(self.first, {c[0] for c in split}, "")
-        need: set[str] = set()
-        for c in split:
-            need.update(c[1:])
-        long = self._learn(self.later, need, " ")
-        later = self.later
-        out = [self.first[c[0]] + b"".join([later[x] for x in c[1:]]) for c in split]
+        later, out, lacking = self.later, [], []
+        for k, c in enumerate(split):  # one look-up a chunk; a text that lacks one is joined later
+            rest = c[1:]
+            found = list(map(later.get, rest))
+            try:
+                out.append(self.first[c[0]] + b"".join(found))
+            except TypeError:
+                out.append(b"")
+                lacking.append((k, rest, found))
+        long = self._learn(later, {x for _, rest, found in lacking for x, y in zip(rest, found, strict=True) if y is None}, " ")
+        for k, rest, found in lacking:
+            out[k] = self.first[split[k][0]] + b"".join([later[x] if y is None else y for x, y in zip(rest, found, strict=True)])
         for c in long:
             del later[c]
         if len(later) > CACHE_CHUNKS:

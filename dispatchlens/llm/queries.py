@@ -69,7 +69,7 @@ def op7_decontaminate(spark, sf_dir):
 
 
 def op8_tokens(spark, sf_dir):
-    return tokens.read(*tokens.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)))
+    return tokens.read(spark, tokens.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)))
 
 
 def op9_jaccard(spark, sf_dir):

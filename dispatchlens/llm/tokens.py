@@ -1,21 +1,25 @@
 """Token ids in a binary file format: one zstandard frame a document, all with one trained dictionary.
 
 The dictionary is trained on the serialized ids of a bounded sample of documents (DICTIONARY_DOCS rows by smallest hash)
-and goes with the files; every segment names it by its SHA-256. A segment is one row of a Parquet folder, so that Spark
-commits whole files and a lost task leaves nothing behind:
+and stored beside the segments, as a table of its own (sha256, dictionary); every segment names it by its SHA-256, and a reader needs
+nothing but the folder. A segment is one row of a Parquet folder, so that Spark commits whole files and a lost task leaves
+nothing behind:
 
     "TOKS", version u8, bytes an id u8, reserved u16, dictionary sha256 (32 bytes), documents u32,
     validity u8 x n, document id i64 x n, ids u64 x n, offset u64 x (n + 1), frames
 
 All numbers are little-endian. A document is read alone by its offset. Documents stand in ascending order of id, nulls first,
-equal ids by their text. Null texts are empty and hold the end id alone.
+equal ids by a hash of their first characters and then by their text. Null texts are empty and hold the end id alone. Strings of special tokens
+in a text are those tokens, as the library has it. Ids must be whole numbers.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,11 +27,12 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dispatchlens import session
 from dispatchlens.llm.chunks import ChunkEncoder
-from dispatchlens.llm.store import written
 
 END = 2
 DICTIONARY_DOCS = 400
@@ -35,11 +40,14 @@ DICTIONARY_BYTES = 65_536
 SEGMENT_BYTES = 2_000_000
 LEVEL = 3
 HEAD = "<4sBBH32sI"
+#: Characters of a text that help to deal out rows of one id.
+KEY_CHARS = 64
+DICTIONARY = "sha256 string, dictionary binary"
 SEGMENTS = "part int, seq int, first_start long, n_ids long, segment binary"
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> tuple[ChunkEncoder, int]:
+def _encoder(path: str) -> tuple["Encoder", int]:
     """The library's byte-level encoder; ids are written in 2 bytes where the vocabulary allows."""
     import os
 
@@ -47,14 +55,28 @@ def _encoder(path: str) -> tuple[ChunkEncoder, int]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     width = 2 if tokenizer.get_vocab_size() <= 65_536 else 4
+    code = {2: "H", 4: "I"}[width]
 
-    def encode(chunks):
-        for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False):
-            yield np.array(e.ids, dtype=f"<u{width}").tobytes()
+    def whole(texts):
+        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return ChunkEncoder(encode), width
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    return Encoder(ChunkEncoder(whole), whole, special), width
+
+
+class Encoder:
+    """Texts to bytes of ids; a text that holds a special token's string is encoded by the library as a whole."""
+
+    def __init__(self, chunks: ChunkEncoder, whole, special: list[str]):
+        self.chunks, self.whole, self.special = chunks, whole, special
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        marked = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
+        out = self.chunks.texts([t if k not in marked else "" for k, t in enumerate(texts)] if marked else texts)
+        for k, ids in zip(marked, self.whole([texts[k] for k in marked]), strict=True):
+            out[k] = ids
+        return out
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
@@ -72,7 +94,7 @@ def _dictionary(rows: DataFrame, path: str) -> bytes:
     def serialized(batches):
         encoder, width = _encoder(path)
         for batch in _sliced(batches):
-            yield pa.RecordBatch.from_pydict({"ids": pa.array([x[: 4 * DICTIONARY_BYTES] for x in encoder.texts(batch.column(0).to_pylist())], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"ids": pa.array(encoder.texts(batch.column(0).to_pylist()), pa.binary())})
 
     samples = sorted(bytes(r["ids"]) for r in sample.mapInArrow(serialized, "ids binary").limit(2 * DICTIONARY_DOCS).collect())
     try:
@@ -85,8 +107,12 @@ def _compression(dictionary: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
 
 
-def write(docs: DataFrame, path: str, end: int = END) -> tuple[DataFrame, bytes]:
-    """The segments, written in the shared folder and reopened, and their dictionary."""
+def write(docs: DataFrame, path: str, end: int = END, folder: str | None = None) -> str:
+    """Writes segments and their dictionary, into the shared folder if none is given; returns the folder."""
+    if not isinstance(docs.schema["doc_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise ValueError("document ids must be whole numbers")
+    spark = docs.sparkSession
+    folder = folder or session.run_path(spark, f"tokens-{uuid.uuid4().hex}")
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
     dictionary = _dictionary(rows, path)
     name = hashlib.sha256(dictionary).digest()
@@ -120,8 +146,20 @@ def write(docs: DataFrame, path: str, end: int = END) -> tuple[DataFrame, bytes]
         if ids:
             yield segment()
 
-    parts = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return written(parts.mapInArrow(pack, SEGMENTS), "tokens"), dictionary
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64(F.left("text", F.lit(KEY_CHARS)))]  # rows of one id can be many
+    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    parts.mapInArrow(pack, SEGMENTS).write.parquet(f"{folder}/segments")
+    spark.createDataFrame([(name.hex(), bytearray(dictionary))], DICTIONARY).coalesce(1).write.parquet(f"{folder}/dictionary")
+    return folder
+
+
+def opened(spark: SparkSession, folder: str) -> tuple[DataFrame, bytes]:
+    """The segments of a folder and the dictionary that stands beside them."""
+    row = spark.read.schema(DICTIONARY).parquet(f"{folder}/dictionary").first()
+    dictionary = bytes(row["dictionary"])
+    if hashlib.sha256(dictionary).hexdigest() != row["sha256"]:
+        raise ValueError("the stored dictionary is damaged")
+    return spark.read.schema(SEGMENTS).parquet(f"{folder}/segments"), dictionary
 
 
 def _opened(segment: bytes, dictionary: bytes):
@@ -144,8 +182,9 @@ def document(segment: bytes, place: int, dictionary: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor(**_compression(dictionary)).decompress(frame), f"<u{width}")
 
 
-def read(segments: DataFrame, dictionary: bytes) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, n_bytes) of each document from its frame."""
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, n_bytes) of each document of a folder, from its frame."""
+    segments, dictionary = opened(spark, folder)
     totals = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row for each partition that was written
     before = totals.select(F.col("part").alias("_part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("_before"))
     rows = segments.join(F.broadcast(before), F.col("part") == F.col("_part")).select("segment", (F.col("first_start") + F.col("_before")).alias("start"))
