@@ -6,9 +6,10 @@ of all tokens in COUNT_BUCKETS buckets, and its prefixes are joined through inve
 these prefixes, and pairs that share fewer are never compared. The second and third orders are by other hashes; their longer
 prefixes must share several tokens. Whole sets are compared only for pairs that pass all orders.
 
-A list of MANY members or more isn't paired with itself at once: first its members meet its pivot, the least by size, and what is
-linked is merged to components. Then all pairs of different components in any list are formed, so that no link between
-components is lost; members that one pivot links have become one component by then and cost about their number.
+A list of MANY members or more isn't paired with itself at once: first its members meet its pivot, the least by size. Where that makes ALIKE
+of them one component, they are near copies, and the others meet PIVOTS more in each of ROUNDS rounds, the least ones under hash orders that all
+lists share. What is linked is merged to components. Then all pairs of different components in any list are formed, so that no link between
+components is lost; a group of copies has nearly become one component by then and costs about its size.
 
 To compare sets, each is sent once to every pivot it meets: a pivot's partners are sorted behind it, PARTNERS to a task at most,
 and pass by it as a stream. Null or empty texts are empty sets without links; fewer than five words are one shingle. Rows that repeat stay.
@@ -35,8 +36,9 @@ COUNT_BUCKETS = 1 << 18
 HOT = 4096
 #: Buckets of the filter that lets through the rows of candidates before they are shuffled.
 FILTER_BUCKETS = 1 << 20
-#: Members of a list that meet its pivot before it is paired; it changes the cost alone.
-MANY = 64
+#: Members of a list that meet its pivot before it is paired; the share of them that one component must have for further
+#: pivots, how many a round has, and rounds; members from which a list is paired by components first. They change the cost alone.
+MANY, ALIKE, PIVOTS, ROUNDS, LONG = 64, 0.2, 2, 4, 256
 #: Sets that a task compares with one pivot; a pivot with more partners stands in several tasks.
 PARTNERS = 512
 TOKEN_BYTES = 6
@@ -267,30 +269,58 @@ class Join:
         long = lists.where(F.col("members") >= MANY)
         star = long.where((F.col("id") != F.col("pivot")) & _near(F.col("n"), F.col("pivot_n"))).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
         found = self.verified(star)
-        return found.unionByName(self.verified(_across(written(_mixed(lists, components(found)), "rest"))))
+        rest = written(_mixed(lists, components(found)), "rest")
+        for turn in range(ROUNDS):
+            links = self.verified(_drawn(rest, turn))
+            if links.isEmpty():
+                break
+            found = written(found.unionByName(links), "found")
+            rest = written(_mixed(rest, components(found)), "rest")
+        return found.unionByName(self.verified(_across(rest)))
 
 
 def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(token, id, n, label) of the lists that hold several components."""
-    known = lists.select("token", "id", "n").join(labels.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
-    known = known.select("token", "id", "n", F.coalesce("label", "id").alias("label"))
+    """(token, id, n, members, label) of the lists that hold several components."""
+    known = lists.select("token", "id", "n", "members").join(labels.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
+    known = known.select("token", "id", "n", "members", F.coalesce("label", "id").alias("label"))
     several = known.groupBy(F.col("token").alias("_token")).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("_token")
     return known.join(several, F.col("token") == F.col("_token"), "left_semi")
 
 
+def _drawn(rest: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of members and pivots of other components, in the lists of near copies."""
+    many = rest.where(F.col("members") >= MANY)
+    held = many.groupBy("token", "label").agg(F.count("*").alias("n"), F.max("members").alias("members"))
+    held = held.groupBy(F.col("token").alias("_held")).agg(F.max("n").alias("most"), F.max("members").alias("members"))
+    alike = many.join(held.where(F.col("most") >= ALIKE * F.col("members")).select("_held"), F.col("token") == F.col("_held"), "left_semi")
+    draws = [F.min(F.struct(F.xxhash64(F.lit(turn * PIVOTS + k), "id").alias("rank"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))) for k in range(PIVOTS)]
+    heads = alike.groupBy(F.col("token").alias("_token")).agg(F.array(*draws).alias("draws")).select("_token", F.inline("draws"))
+    met = alike.join(heads, F.col("token") == F.col("_token")).where((F.col("label") != F.col("other")) & _near(F.col("n"), F.col("m")))
+    return met.select(F.col("id").alias("a"), "b").distinct()
+
+
 def _across(rest: DataFrame) -> DataFrame:
     """All pairs (a, b) of different components that share so many tokens of their first prefixes that they may be similar."""
-    # pairs of labels within a list, and then their members: a label's own pairs are never formed
-    kinds = rest.select("token", "label").distinct()
+    def sides(frame):
+        one = frame.select(F.col("token").alias("t1"), F.col("label").alias("l1"), F.col("id").alias("a"), F.col("n").alias("n_a"))
+        two = frame.select(F.col("token").alias("t2"), F.col("label").alias("l2"), F.col("id").alias("b"), F.col("n").alias("n_b"))
+        return one, two
+
+    near = _near(F.col("n_a"), F.col("n_b"))
+    one, two = sides(rest.where(F.col("members") < LONG))
+    short = one.join(two, (F.col("t1") == F.col("t2")) & (F.col("l1") < F.col("l2")) & near)
+    # in long lists pairs of labels, and then their members: a label's own pairs are never looked at
+    long = rest.where(F.col("members") >= LONG)
+    kinds = long.select("token", "label").distinct()
     other = kinds.select(F.col("token").alias("_token"), F.col("label").alias("_label"))
     across = kinds.join(other, (F.col("token") == F.col("_token")) & (F.col("label") < F.col("_label"))).select("token", "label", "_label")
-    one = rest.select(F.col("token").alias("t1"), F.col("label").alias("l1"), F.col("id").alias("a"), F.col("n").alias("n_a"))
-    two = rest.select(F.col("token").alias("t2"), F.col("label").alias("l2"), F.col("id").alias("b"), F.col("n").alias("n_b"))
-    pairs = across.join(one, (F.col("token") == F.col("t1")) & (F.col("label") == F.col("l1")))
-    pairs = pairs.join(two, (F.col("token") == F.col("t2")) & (F.col("_label") == F.col("l2")) & _near(F.col("n_a"), F.col("n_b")))
+    one, two = sides(long)
+    pairs = across.join(one, (F.col("token") == F.col("t1")) & (F.col("label") == F.col("l1"))).join(two, (F.col("token") == F.col("t2")) & (F.col("_label") == F.col("l2")) & near)
+    columns = ["a", "b", "n_a", "n_b"]
     swap = F.col("a") < F.col("b")
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
-                         F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"))
+    pairs = short.select(columns).unionByName(pairs.select(columns)).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
+        F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"))
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
     return pairs.where(_may_share(F.col("n_a"), F.col("n_b"), F.col("common"))).select("a", "b")
 

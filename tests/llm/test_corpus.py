@@ -63,9 +63,10 @@ def near_copies():
     return texts
 
 
-@pytest.mark.parametrize("many, partners", [(64, 512), (4, 3), (10**6, 512)])
-def test_components_of_near_copies(spark, tmp_path, monkeypatch, many, partners):
+@pytest.mark.parametrize("many, long, partners", [(64, 256, 512), (4, 8, 3), (10**6, 2, 512)])
+def test_components_of_near_copies(spark, tmp_path, monkeypatch, many, long, partners):
     monkeypatch.setattr(jaccard, "MANY", many)
+    monkeypatch.setattr(jaccard, "LONG", long)
     monkeypatch.setattr(jaccard, "PARTNERS", partners)
     global RNG
     RNG = np.random.default_rng(12)
