@@ -67,6 +67,14 @@ def checked_records(spark, records):
     return contract.check_records(spark.createDataFrame(rows, "record_id INT, payload STRING"))
 
 
+def test_bare_nan_and_infinity_are_no_numbers(spark):
+    sent = json.dumps(record(price_sum=float("nan"), freight_mean=float("inf")))
+    assert "NaN" in sent and "Infinity" in sent
+    assert checked_records(spark, [sent]).first().violations == ["type:price_sum", "type:freight_mean"]
+    quoted = json.dumps(record(price_sum="NaN", freight_mean="Infinity"))
+    assert checked_records(spark, [quoted]).first().violations == ["range:price_sum"]
+
+
 def test_records_that_meet_the_contract(spark):
     checked = checked_records(spark, ACCEPTED)
     got = {r.record_id: r for r in contract.accepted(checked).collect()}
