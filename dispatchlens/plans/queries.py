@@ -795,7 +795,8 @@ def stream_model_change(spark, sf_dir):
     p = F.col("late_delivery_probability")
     out = _whole(spark, sf_dir, "stream_model_change", build)
     return out.select("record_id", "model_version", "scored_by", "outcome", F.coalesce(p.between(0, 1), F.lit(False)).alias("has_score"),
-                      (scoring.risk_level(p) == F.col("risk_level")).alias("band_agrees"))
+                      # the band comes from the score before it is rounded to 4 places
+                      (F.col("risk_level").isin(scoring.risk_level(p - 5e-5), scoring.risk_level(p + 5e-5))).alias("band_agrees"))
 
 
 @query
