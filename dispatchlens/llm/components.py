@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispatchlens.llm.store import written
+from dispatchlens.llm.store import released, written
 
 
 def _starred(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,6 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
     seen = mark(now)
     while True:
         now = written(_starred(_starred(now, True), False), "edges")
+        released(edges.sparkSession)
         if (new := mark(now)) == seen:
             return now.select(F.col("a").alias("id"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("label"))).distinct()
         seen = new

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dispatchlens.llm.components import components
-from dispatchlens.llm.store import written
+from dispatchlens.llm.store import released, written
 
 WORDS = 5
 PERCENT = 80
@@ -203,7 +203,7 @@ class Join:
     """The join over one table of documents: its written tables and what they give."""
 
     def __init__(self, docs: DataFrame):
-        spark = docs.sparkSession
+        self.spark = spark = docs.sparkSession
         if spark.conf.get(BATCH_BYTES, None) in (None, "-1"):
             spark.conf.set(BATCH_BYTES, str(16 << 20))  # sets of long texts would make batches of any size
         self.rows = _texts(docs)
@@ -260,12 +260,15 @@ class Join:
                         b.append(k)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        return written(met.mapInArrow(compared, "a long, b long"), "links")
+        links = written(met.mapInArrow(compared, "a long, b long"), "links")
+        released(self.spark)
+        return links
 
     def links(self) -> DataFrame:
         """Links (a, b) between nodes whose components are those of all similar pairs."""
         tiers, hot = _tiers(self.first)
         lists = written(_lists(self.rows, tiers, hot), "lists")
+        released(self.spark)
         long = lists.where(F.col("members") >= MANY)
         star = long.where((F.col("id") != F.col("pivot")) & _near(F.col("n"), F.col("pivot_n"))).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
         found = self.verified(star)
@@ -276,6 +279,7 @@ class Join:
                 break
             found = written(found.unionByName(links), "found")
             rest = written(_mixed(rest, components(found)), "rest")
+            released(self.spark)
         return found.unionByName(self.verified(_across(rest)))
 
 

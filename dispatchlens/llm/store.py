@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from dispatchlens import session
 
@@ -15,3 +16,12 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     path = session.run_path(spark, f"{name}-{uuid.uuid4().hex}")
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def released(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that no one holds any more, now that their results are written.
+
+    Spark deletes them when the driver's memory is collected, which may be long after in a job of many steps.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
