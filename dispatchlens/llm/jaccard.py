@@ -21,7 +21,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -218,11 +217,10 @@ class Join:
         bucket = F.pmod(F.xxhash64("owner"), F.lit(FILTER_BUCKETS))
         mask = np.zeros(FILTER_BUCKETS, bool)
         mask[owners.select(bucket.alias("x")).distinct().toArrow()["x"].to_numpy()] = True
-        few = pa.array(np.flatnonzero(mask))
 
         def run(batches):
             for batch in batches:
-                batch = batch.filter(pc.is_in(batch.column(1), value_set=few)).select([0])
+                batch = batch.filter(pa.array(mask[batch.column(1).to_numpy(zero_copy_only=False)])).select([0])
                 for at in range(0, batch.num_rows, 256):
                     sets = [shingles(t) for t in batch.slice(at, 256).column(0).to_pylist()]
                     yield pa.RecordBatch.from_pydict({"id": pa.array([_node(t) for t in sets], pa.int64()), "tokens": pa.array([_packed(t) for t in sets], pa.binary())})
