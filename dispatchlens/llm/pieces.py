@@ -26,7 +26,7 @@ MARK = "▁"
 #: Answers of the acceptor that a worker keeps before it starts anew.
 ACCEPTED_PAIRS = 400_000
 #: Parts of words kept with their ids likewise.
-KNOWN_PARTS = 600_000
+KNOWN_PARTS = 400_000
 NOTHING = float("inf")
 
 
