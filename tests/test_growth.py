@@ -2,7 +2,12 @@
 
 import re
 
-from dispatchlens.operators import contract, order_features as features_op
+import numpy as np
+
+from dispatchlens import policy, session
+from dispatchlens.functions import quantiles
+from dispatchlens.operators import contract, order_features as features_op, training, trees
+from dispatchlens.plans import queries
 from dispatchlens.sources import adapter
 
 
@@ -43,3 +48,41 @@ def test_order_with_unknown_values_only_stays(spark):
     got = {r.order_id: r for r in features_op.item_values(items, products, sellers).collect()}
     assert (got["a"].product_count, got["a"].seller_count, got["a"].seller_city_count, got["a"].seller_zip_mode) == (0, 1, 0, 5)
     assert (got["b"].product_count, got["b"].seller_count, got["b"].product_category_mode, got["b"].seller_state_mode) == (1, 1, None, "7")
+
+
+def test_counting_cells_copies_narrow_rows(spark):
+    """Grouping sets used to copy all cell columns once per column, so that the work grew with the square of their number."""
+    df = spark.createDataFrame([(1, None, "x"), (1, 3, "x"), (2, 3, "y")], "a INT, b INT, side STRING")
+    counted = quantiles.long_counts(df, {"first": "a", "second": "b"}, ["side"])
+    assert "Expand" not in optimized(counted)
+    assert sorted(tuple(r) for r in counted.select("side", "name", "cell", "n").collect()) == [
+        ("x", "first", 1, 2), ("x", "second", 3, 1), ("y", "first", 2, 1), ("y", "second", 3, 1)]
+
+
+def test_few_cells_are_summed_without_sorting(monkeypatch):
+    rng = np.random.default_rng(1)
+    cell = trees._cell(rng.integers(0, 3, 500), rng.integers(0, 2, 500), rng.integers(0, 200, 500), 2)
+    g, h, n = rng.normal(size=500), rng.random(500), np.ones(500)
+
+    def summed():
+        cells = trees._Cells(3, 2)
+        cells.add(cell[:300], g[:300], h[:300], n[:300])
+        cells.add(cell[300:], g[300:], h[300:], n[300:])
+        return [r for batch in cells.rows() for r in batch.to_pylist()]
+
+    plain = summed()
+    monkeypatch.setattr(trees, "CELLS", 10)  # beyond it cells are sorted, as all were
+    assert summed() == plain and sum(r["n"] for r in plain) == 500
+    monkeypatch.setattr(trees, "CELLS", 10_000)
+    monkeypatch.setattr(np, "unique", None)
+    assert summed() == plain
+
+
+def test_candidates_share_one_preparation(spark, sf_dir, monkeypatch):
+    fits = []
+    monkeypatch.setattr(queries.prep, "fit", lambda train, approximate=False, fit=queries.prep.fit: fits.append(1) or fit(train, approximate))
+    monkeypatch.setitem(queries.QUICK_TREES, "histogram_boosting", lambda rows: trees.HistogramBoosting(maxIter=1, labelCol=policy.LABEL))
+    monkeypatch.setitem(queries.QUICK_TREES, "logistic_regression", lambda rows: training.logistic_regression(rows).setMaxIter(2))
+    monkeypatch.setattr(session, "_written", {})
+    models = queries._all_fitted(spark, sf_dir, ["logistic_regression", "histogram_boosting"])
+    assert list(models) == ["logistic_regression", "histogram_boosting"] and len(fits) == 1
