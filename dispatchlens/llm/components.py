@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispatchlens.llm.store import released, written
+from dispatchlens.llm.store import dropped, released, written
 
 
 def _starred(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     seen = mark(now)
     while True:
-        now = written(_starred(_starred(now, True), False), "edges")
+        before, now = now, written(_starred(_starred(now, True), False), "edges")
+        dropped(before)
         released(edges.sparkSession)
         if (new := mark(now)) == seen:
             return now.select(F.col("a").alias("id"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("label"))).distinct()

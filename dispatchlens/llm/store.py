@@ -15,7 +15,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = session.run_path(spark, f"{name}-{uuid.uuid4().hex}")
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Deletes tables of written() that nothing will read again: what was made of them is written itself."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def released(spark: SparkSession) -> None:
