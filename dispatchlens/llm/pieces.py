@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -50,12 +51,12 @@ class Transducer:
         self.plain = [p.replace(MARK, " ").encode() for p in self.pieces]
         for value, i in self.bytes.items():
             self.plain[i] = bytes([value])
-        # lengths of the pieces by their last two characters, descending, so that few spans are looked up
+        # lengths of the pieces by their last three characters (or two, if there are no more), descending, so that few spans are looked up
         lengths: dict[str, set[int]] = {}
         for p in self.arcs:
             if len(p) > 1:
-                lengths.setdefault(p[-2:], set()).add(len(p))
-        self.lengths = {c: sorted(n, reverse=True) for c, n in lengths.items()}
+                lengths.setdefault(p[-3:], set()).add(len(p))
+        self.lengths = {c: sorted(n | lengths.get(c[-2:], set()), reverse=True) for c, n in lengths.items()}
         self.joined = {pair for p in self.arcs for pair in zip(p, p[1:], strict=False)}
         self.parts: dict[str, tuple[str, str] | None] = {}
         self.accepted: dict[tuple[str, str], bool] = {}
@@ -107,44 +108,60 @@ class Transducer:
 
     def path(self, text: str) -> list[int]:
         """Ids of the shortest path over normalised characters."""
-        best, last, back = [0.0], [""], [(0, ())]
+        return next(self.paths([text]))
+
+    def paths(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of each text's shortest path. What a text has in common with the start of the one before is composed once, so that
+        sorted texts cost least."""
+        best, last, back, before = [0.0], [""], [(0, ())], ""
         arcs, lengths, accepted, follows = self.arcs, self.lengths, self.accepted, self.follows
-        for end in range(1, len(text) + 1):
-            char = text[end - 1]
-            # no other neighbour passes once one has: a prefix has one segmentation
-            for size in lengths.get(text[end - 2:end], ()) if end > 1 else ():
-                start = end - size
-                if start < 0:
-                    continue
-                found = text[start:end]
-                arc = arcs.get(found)
-                if arc is None:
-                    continue
-                key = (last[start], found)
-                if accepted[key] if key in accepted else follows(*key):
-                    best.append(best[start] + arc[0])
-                    last.append(found)
-                    back.append((start, (arc[1],)))
+        for text in texts:
+            common = 0
+            for a, b in zip(text, before, strict=False):
+                if a != b:
                     break
-            else:
-                arc = arcs.get(char)
-                if arc is None:
-                    value = char.encode("utf-8", "surrogatepass")
-                    arc, char = (self.byte_weight * len(value), *(self.bytes[b] for b in value)), ""
-                best.append(best[end - 1] + arc[0])
-                last.append(char)
-                back.append((end - 1, arc[1:]))
-        out: list[int] = []
-        at = len(text)
-        while at:
-            at, ids = back[at]
-            out.extend(reversed(ids))
-        return out[::-1]
+                common += 1
+            del best[common + 1:], last[common + 1:], back[common + 1:]
+            before = text
+            for end in range(common + 1, len(text) + 1):
+                char = text[end - 1]
+                # no other neighbour passes once one has: a prefix has one segmentation
+                sizes = lengths.get(text[end - 3:end]) if end > 2 else None
+                for size in sizes or (lengths.get(text[end - 2:end], ()) if end > 1 else ()):
+                    start = end - size
+                    if start < 0:
+                        continue
+                    found = text[start:end]
+                    arc = arcs.get(found)
+                    if arc is None:
+                        continue
+                    key = (last[start], found)
+                    if accepted[key] if key in accepted else follows(*key):
+                        best.append(best[start] + arc[0])
+                        last.append(found)
+                        back.append((start, (arc[1],)))
+                        break
+                else:
+                    arc = arcs.get(char)
+                    if arc is None:
+                        value = char.encode("utf-8", "surrogatepass")
+                        arc, char = (self.byte_weight * len(value), *(self.bytes[b] for b in value)), ""
+                    best.append(best[end - 1] + arc[0])
+                    last.append(char)
+                    back.append((end - 1, arc[1:]))
+            out: list[int] = []
+            at = len(text)
+            while at:
+                at, ids = back[at]
+                out.extend(reversed(ids))
+            yield out[::-1]
 
     def parts_of(self, text: str) -> list[str]:
         """The text cut wherever no piece joins two neighbouring characters; its path is that of the parts, joined."""
+        if self.joined.issuperset(zip(text, text[1:], strict=False)):
+            return [text]
         cuts = [k for k, pair in enumerate(zip(text, text[1:], strict=False), 1) if pair not in self.joined]
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)] if cuts else [text]
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
 
     def decode(self, ids) -> str:
         plain = self.plain
@@ -164,16 +181,13 @@ def _encoder(path: str) -> ChunkEncoder:
     def encode(chunks):
         if len(known) > KNOWN_PARTS:
             known.clear()
-        for c in chunks:
-            found = []
-            for part in model.parts_of(c.replace(" ", MARK)):
-                ids = known.get(part)
-                if ids is None:
-                    ids = array("I", model.path(part)).tobytes()
-                    if len(part) <= CACHE_CHARS:
-                        known[part] = ids
-                found.append(ids)
-            yield b"".join(found)
+        parts = [model.parts_of(c.replace(" ", MARK)) for c in chunks]
+        missing = sorted({p for own in parts for p in own if p not in known})
+        known.update(zip(missing, (array("I", ids).tobytes() for ids in model.paths(missing)), strict=True))
+        yield from (b"".join([known[p] for p in own]) for own in parts)
+        for p in missing:
+            if len(p) > CACHE_CHARS:
+                del known[p]
 
     encoder = ChunkEncoder(encode)
     learn = encoder._learn
