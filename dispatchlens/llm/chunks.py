@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterable
 
@@ -10,6 +11,20 @@ CACHE_CHUNKS = 600_000
 CACHE_CHARS = 64
 _DOUBLED = re.compile(r"\s | \s")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+_clear: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, clear: Callable[[], None]) -> None:
+    """Says that this worker keeps something for tasks to come, and how it is given back."""
+    _clear[name] = clear
+
+
+def forget() -> None:
+    """Gives back what this worker kept for other steps: Spark's workers live on from one step to the next."""
+    if _clear:
+        for name in list(_clear):
+            _clear.pop(name)()
+        gc.collect()  # encoders refer to themselves
 
 
 class ChunkEncoder:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispatchlens.llm.chunks import CACHE_CHARS, ChunkEncoder
+from dispatchlens.llm.chunks import CACHE_CHARS, ChunkEncoder, keeps
 
 MARK = "▁"
 #: Answers of the acceptor that a worker keeps before it starts anew.
@@ -173,8 +173,14 @@ def transducer(path: str) -> Transducer:
     return Transducer(path)
 
 
+def _given_back() -> None:
+    _encoder.cache_clear()
+    transducer.cache_clear()
+
+
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> ChunkEncoder:
+    keeps("pieces", _given_back)
     model = transducer(path)
     known: dict[str, bytes] = {}
 
