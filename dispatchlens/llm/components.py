@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from dispatchlens.llm.store import dropped, released, written
 
+#: Edges that a task takes; where there are fewer, the steps run in fewer tasks than there are shuffle partitions.
+TASK_EDGES = 100_000
 
-def _starred(edges: DataFrame, large: bool) -> DataFrame:
+
+def _starred(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     """Joins every neighbour (the larger ones for a large star, the smaller ones for a small one) to the least of all."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if not large:
@@ -19,7 +22,7 @@ def _starred(edges: DataFrame, large: bool) -> DataFrame:
         out = met.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:
         out = met.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(least.select("a", F.col("least").alias("b")))
-    return out.where("a <> b").distinct()
+    return out.where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     seen = mark(now)
     while True:
-        before, now = now, written(_starred(_starred(now, True), False), "edges")
+        tasks = 1 + seen["n"] // TASK_EDGES
+        before, now = now, written(_starred(_starred(now, True, tasks), False, tasks), "edges")
         dropped(before)
         released(edges.sparkSession)
         if (new := mark(now)) == seen:

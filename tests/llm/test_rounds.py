@@ -35,3 +35,24 @@ def test_short_lists_pass_once_and_used_tables_are_deleted(spark, monkeypatch):
     assert sum(n > 0 for n in calls) == 1
     left = [f.rsplit("-", 5)[0] for f in set(os.listdir(folder)) - before]
     assert not {"hot", "lists", "pairs", "roles", "owners"} & set(left) and left.count("rest") == 1
+
+
+def test_components_of_few_edges_take_few_tasks(spark):
+    rng = np.random.default_rng(4)
+    edges = {(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))} | {(k, k + 1) for k in range(500, 530)}
+    frame = spark.createDataFrame(sorted(edges), "a long, b long").repartition(7)
+    want = {n: n for e in edges if e[0] != e[1] for n in e}
+    while any(want[a] != want[b] for a, b in edges if a != b):
+        for a, b in edges:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    for setting, value in (("spark.sql.adaptive.coalescePartitions.enabled", "false"), ("spark.sql.shuffle.partitions", "50")):
+        spark.conf.set(setting, value)
+    try:
+        labels = jaccard.components(frame)
+        files = [f for f in labels.inputFiles() if f.endswith(".parquet")]
+        assert {r["id"]: r["label"] for r in labels.collect()} == want
+        assert len(set(files)) == 1  # one task wrote them
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
